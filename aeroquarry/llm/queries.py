@@ -43,7 +43,8 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["base"] & (s["kind"] == i))).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    of_kind = lambda i: F.filter("spans", lambda s: s["base"] & (s["kind"] == i))
+    counts = [F.size(of_kind(i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"))
 
 
