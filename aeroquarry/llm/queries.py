@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, pii, quality_rules, url_filters
+from . import chat, classifier, media, mixing, packing, pii, quality_rules, url_filters
 from ._util import table
 
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -40,6 +40,19 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
+    return media.media(table(spark, sf_dir, "documents")).select(*columns)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
@@ -49,7 +62,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_mixing, op4_chat_formatting, op10_pii)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_mixing, op4_chat_formatting, op5_best_fit_packing, op6_quality_classifier, op8_media_columns, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
