@@ -65,24 +65,28 @@ def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     links = scratch.save(messages.select("tree_id", "node_id", "parent_id", F.coalesce("score", F.lit(0.0)).alias("score")), "links")
     known = links.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"))
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    # A jump leads `reach` steps up; it is null past the root. `gain` and `depth` sum what lies on the way.
+    # A jump leads some power of two steps up; it is null past the root. `gain` and `depth` sum what lies on the way.
+    # Only nodes that have not passed their root yet are joined again; the others are done.
     jump = links.join(known, same("tree_id", "t") & (F.col("parent_id") == F.col("n")), "left").select(
         "tree_id", "node_id", F.col("n").alias("up"), F.col("score").alias("gain"), F.lit(1).cast("long").alias("depth")
     )
-    jumps = [scratch.save(jump, "jump0")]
-    nodes = None
-    while jumps[-1].where("up IS NOT NULL").limit(1).count():
-        if nodes is None:
-            nodes = links.count()
+    table = scratch.save(jump, "jump0")
+    jumps, done, nodes = [], table.where("up IS NULL"), None
+    active = table.where("up IS NOT NULL")
+    while active.limit(1).count():
+        jumps.append(active)
+        nodes = links.count() if nodes is None else nodes
         if 2 ** (len(jumps) - 1) > nodes:  # only cycles climb further than there are nodes
             break
-        above = jumps[-1].select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), F.col("up").alias("far"), F.col("gain").alias("g"), F.col("depth").alias("d"))
-        step = jumps[-1].join(above, same("tree_id", "t") & (F.col("up") == F.col("n")), "left").select(
-            "tree_id", "node_id", F.col("far").alias("up"), (F.col("gain") + F.coalesce("g", F.lit(0.0))).alias("gain"), (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth")
+        above = active.unionByName(done).select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), F.col("up").alias("far"), F.col("gain").alias("g"), F.col("depth").alias("d"))
+        step = active.join(above, same("tree_id", "t") & (F.col("up") == F.col("n")), "left").select(
+            "tree_id", "node_id", F.col("far").alias("up"), (F.col("gain") + F.col("g")).alias("gain"), (F.col("depth") + F.col("d")).alias("depth")
         )
-        jumps.append(scratch.save(step, f"jump{len(jumps)}"))
+        table = scratch.save(step, f"jump{len(jumps)}")
+        done = done.unionByName(table.where("up IS NULL"))
+        active = table.where("up IS NOT NULL")
     parents = links.where("parent_id IS NOT NULL").select(F.col("tree_id").alias("t"), F.col("parent_id").alias("n")).distinct()
-    leaves = jumps[-1].where("up IS NULL").join(parents, same("tree_id", "t") & (F.col("node_id") == F.col("n")), "left_anti")
+    leaves = done.join(parents, same("tree_id", "t") & (F.col("node_id") == F.col("n")), "left_anti")
     if top == 1:
         best = F.max_by(F.struct("node_id", "depth"), F.struct("gain", "depth", -F.col("node_id")))
         picked = leaves.groupBy("tree_id").agg(best.alias("b")).select("tree_id", F.col("b.node_id").alias("leaf"), F.lit(1).alias("rank"), F.col("b.depth").alias("depth"))
@@ -90,8 +94,8 @@ def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
         order = Window.partitionBy("tree_id").orderBy(F.desc("gain"), F.desc("depth"), "node_id")
         picked = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("tree_id", F.col("node_id").alias("leaf"), "rank", "depth")
     path = scratch.save(picked.withColumn("node_id", F.col("leaf")), "path")
-    for k in range(len(jumps) - 2, -1, -1):  # all sums of distinct powers of two: every distance once
-        hop = jumps[k].where("up IS NOT NULL").select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "up")
+    for k in range(len(jumps) - 1, -1, -1):  # all sums of distinct powers of two: every distance once
+        hop = jumps[k].select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "up")
         more = path.join(hop, same("tree_id", "t") & (F.col("node_id") == F.col("n"))).select(
             "tree_id", "leaf", "rank", (F.col("depth") - 2**k).alias("depth"), F.col("up").alias("node_id")
         )
