@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, media, mixing, packing, pii, quality_rules, url_filters
+from . import chat, classifier, jaccard_join, media, mixing, packing, pii, quality_rules, url_filters
 from ._util import table
 
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -53,6 +53,10 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media(table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
@@ -62,7 +66,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_mixing, op4_chat_formatting, op5_best_fit_packing, op6_quality_classifier, op8_media_columns, op10_pii)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_mixing, op4_chat_formatting, op5_best_fit_packing, op6_quality_classifier, op8_media_columns, op9_ngram_jaccard_join, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
