@@ -28,13 +28,13 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bitfilter, shingles
 from ._util import Scratch
 from .induced_sort import suffix_array
+from .packed import merged, pack, split_by, unpack
 
 LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM  # anchors lie at most that far from the start of a string
@@ -44,29 +44,6 @@ NO_HASH = np.uint64(2**64 - 1)
 ROWS = "kind int, place int, items long, payload binary"
 
 
-def pack(*arrays: np.ndarray) -> bytes:
-    head = np.array([len(arrays), *(a.nbytes for a in arrays)], np.int64).tobytes()
-    kinds = b"".join(a.dtype.str.encode().ljust(4) for a in arrays)
-    return zstandard.ZstdCompressor(level=1).compress(head + kinds + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
-
-
-def unpack(data: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    sizes = np.frombuffer(raw, np.int64, n, 8).tolist()
-    at, out = 8 + 12 * n, []
-    for i, size in enumerate(sizes):
-        kind = np.dtype(raw[8 + 8 * n + 4 * i : 12 + 8 * n + 4 * i].decode().strip())
-        out.append(np.frombuffer(raw, kind, size // kind.itemsize, at))
-        at += size
-    return out
-
-
-def merged(payloads) -> list[np.ndarray]:
-    parts = [unpack(bytes(p)) for p in payloads]
-    return [np.concatenate(x) for x in zip(*parts, strict=True)]
-
-
 def row_key(doc_id: np.ndarray, node: np.ndarray) -> np.ndarray:
     """One hash for a row's id and text."""
     return shingles.mix(doc_id.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + node.view(np.uint64))
@@ -108,18 +85,6 @@ def anchors(data: np.ndarray, offsets: np.ndarray, powers) -> tuple[np.ndarray,
     return r, p - offsets[r], grams[p], context
 
 
-def split_by(place: np.ndarray, *arrays: np.ndarray):
-    order = np.argsort(place, kind="stable")
-    sorted_place = place[order]
-    cuts = np.flatnonzero(np.diff(sorted_place)) + 1
-    lo = 0
-    for hi in [*cuts.tolist(), len(order)]:
-        if hi > lo:
-            part = order[lo:hi]
-            yield int(sorted_place[lo]), [a[part] for a in arrays]
-        lo = hi
-
-
 def cover_rows(doc, node, start, end, groups: int):
     """Rows that carry covered stretches to the group of their document."""
     place = (row_key(doc, node) % np.uint64(groups)).astype(np.int64)
