@@ -63,83 +63,92 @@ def _first_open(cells: DataFrame, keys: list[str], cell: str, budget: Column) ->
     return run.groupBy(*keys, *([] if "__rest" in keys else ["__rest"])).agg(over.alias("__at"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share_pct: int = 150, max_repeat: int = 2, seed: int = 17, measure: str | None = None) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, copies and taken words."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "mixing")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    sized = scratch.save(
-        docs.select(
-            F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
-            unit_hash(F.lit(seed), F.col("doc_id"), F.xxhash64(text)).alias("u"),
-            F.col(measure).cast("double").alias("m") if measure else F.lit(1.0).alias("m"),
-        ),
-        "sized",
-    )
-    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("m")).alias("mass"))
-    sources = scratch.save(sums, "sums")
-    aims = scratch.save(targets(sources.select("source", "source_size"), weights, share_pct, max_repeat), "targets")
-    aims = aims.join(sources.select(F.col("source").alias("s2"), "mass"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
-    named = aims.withColumnRenamed("source", "__s")
-    rows = sized.join(named, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
-    expected = F.when((F.col("source_size") > 0) & (F.col("mass") > 0), F.least(F.col("target") * F.col("m") / F.col("mass"), F.lit(float(max_repeat)))).otherwise(F.lit(0.0))
-    rows = rows.withColumn("e", expected).withColumn("whole", F.floor("e")).withColumn("f", F.col("e") - F.col("whole"))
-    # q = [u / (1 - u)] / [f / (1 - f)] is kept as q / (1 + q), which has the same order and lies in (0, 1).
-    q = F.col("u") * (1 - F.col("f")) / (F.col("u") * (1 - F.col("f")) + F.col("f") * (1 - F.col("u")))
-    rows = rows.withColumn("rank", F.when(F.col("f") > 0, q))
-    rows = scratch.save(rows.withColumns({"c1": _cell(F.col("rank"), 1), "c2": _cell(F.col("rank"), 2)}), "ranked")
-    # What is left of each target after the certain copies.
-    rest = rows.groupBy("source").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("__rest"))
-    rest = scratch.save(rest.withColumnRenamed("source", "__s"), "rest")
-    live = rows.where(F.col("rank").isNotNull())
-    on = F.col("source").eqNullSafe(F.col("__s"))
-    level1 = live.groupBy("source", "c1").agg(F.sum("size").alias("__words")).join(rest, on).drop("__s")
-    open1 = scratch.save(
-        _first_open(level1, ["source"], "c1", F.col("__rest")).select(
-            F.col("source").alias("__s"), "__rest", F.col("__at.c").alias("o1"), F.col("__at.b").alias("b1")
-        ),
-        "open1",
-    )
-    inside = live.join(open1, on & (F.col("c1") == F.col("o1"))).drop("__s")
-    level2 = inside.groupBy("source", "c2", "__rest", "b1").agg(F.sum("size").alias("__words"))
-    open2 = scratch.save(
-        _first_open(level2.withColumn("__rest", F.col("__rest") - F.col("b1")), ["source"], "c2", F.col("__rest")).select(
-            F.col("source").alias("__s2"), F.col("__rest").alias("rest2"), F.col("__at.c").alias("o2"), F.col("__at.b").alias("b2")
-        ),
-        "open2",
-    )
-    # Only the ranks of one cell of the second level are ordered: the last few documents of each source.
-    edge = inside.join(open2, F.col("source").eqNullSafe(F.col("__s2")) & (F.col("c2") == F.col("o2"))).drop("__s2")
-    order = Window.partitionBy("source").orderBy("rank", "doc_id", "u").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = edge.withColumn("cum", F.sum("size").over(order) + F.col("b2"))
-    nearer = F.col("cum") - F.col("rest2") < F.col("rest2") - (F.col("cum") - F.col("size"))
-    won = edge.where((F.col("cum") <= F.col("rest2")) | ((F.col("cum") - F.col("size") < F.col("rest2")) & nearer))
-    cut = scratch.save(
-        won.groupBy("source").agg(F.max(F.struct("rank", "doc_id", "u")).alias("last")).withColumnRenamed("source", "__s3"), "cut"
-    )
-    bounds = open1.join(open2.select("__s2", "o2"), F.col("__s").eqNullSafe(F.col("__s2")), "left").drop("__s2")
-    bounds = bounds.join(cut, F.col("__s").eqNullSafe(F.col("__s3")), "left").select("__s", "o1", "o2", "last")
-    here = F.struct("rank", "doc_id", "u")
-    chosen = (
-        F.when(F.col("rank").isNull(), False)
-        .when(F.col("o1").isNull() | (F.col("c1") < F.col("o1")), True)
-        .when(F.col("c1") > F.col("o1"), False)
-        .when(F.col("c2") != F.col("o2"), F.col("c2") < F.col("o2"))
-        .otherwise(F.coalesce(here <= F.col("last"), F.lit(False)))
-    )
-    out = rows.join(bounds, on, "left").drop("__s")
-    copies = F.least(F.col("whole") + chosen.cast("long"), F.lit(max_repeat)).cast("long")
-    return out.withColumn("copies", copies).select(
-        "doc_id", "source", "u", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
-    )
+class Mix:
+    """The decisions of a mix: targets of the sources and, for each, the rank up to which documents get one copy more."""
+
+    def __init__(self, docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share_pct: int = 150, max_repeat: int = 2, seed: int = 17, measure: str | None = None) -> None:
+        self.seed, self.max_repeat, self.measure = seed, max_repeat, measure
+        scratch = Scratch(docs.sparkSession, "mixing")
+        self.sized = scratch.save(self._sized(docs), "sized")
+        sums = self.sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("m")).alias("mass"))
+        sources = scratch.save(sums, "sums")
+        aims = scratch.save(targets(sources.select("source", "source_size"), weights, share_pct, max_repeat), "targets")
+        aims = aims.join(sources.select(F.col("source").alias("s2"), "mass"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
+        self.aims = aims.withColumnRenamed("source", "__s")
+        self.ranked = scratch.save(self._ranked(self.sized), "ranked")
+        self.bounds = self._bounds(scratch)
+
+    def _sized(self, docs: DataFrame, *more: Column) -> DataFrame:
+        text = F.coalesce(F.col("text"), F.lit(""))
+        return docs.select(
+            *more, F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
+            unit_hash(F.lit(self.seed), F.col("doc_id"), F.xxhash64(text)).alias("u"),
+            F.col(self.measure).cast("double").alias("m") if self.measure else F.lit(1.0).alias("m"),
+        )
+
+    def _ranked(self, sized: DataFrame) -> DataFrame:
+        """Adds the source's figures, whole copies and the Pareto rank with its cells."""
+        rows = sized.join(self.aims, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
+        expected = F.when(
+            (F.col("source_size") > 0) & (F.col("mass") > 0), F.least(F.col("target") * F.col("m") / F.col("mass"), F.lit(float(self.max_repeat)))
+        ).otherwise(F.lit(0.0))
+        rows = rows.withColumn("e", expected).withColumn("whole", F.floor("e")).withColumn("f", F.col("e") - F.col("whole"))
+        # q = [u / (1 - u)] / [f / (1 - f)] is kept as q / (1 + q), which has the same order and lies in (0, 1).
+        u, f = F.col("u"), F.col("f")
+        rows = rows.withColumn("rank", F.when(f > 0, u * (1 - f) / (u * (1 - f) + f * (1 - u))))
+        return rows.withColumns({"c1": _cell(F.col("rank"), 1), "c2": _cell(F.col("rank"), 2)})
+
+    def _bounds(self, scratch: Scratch) -> DataFrame:
+        """A row for each source: the cells in which its budget runs out, and the last rank taken there."""
+        on = F.col("source").eqNullSafe(F.col("__s"))
+        # What is left of each target after the certain copies.
+        rest = self.ranked.groupBy("source").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("__rest"))
+        rest = scratch.save(rest.withColumnRenamed("source", "__s"), "rest")
+        live = self.ranked.where(F.col("rank").isNotNull())
+        level1 = live.groupBy("source", "c1").agg(F.sum("size").alias("__words")).join(rest, on).drop("__s")
+        open1 = scratch.save(
+            _first_open(level1, ["source"], "c1", F.col("__rest")).select(F.col("source").alias("__s"), "__rest", F.col("__at.c").alias("o1"), F.col("__at.b").alias("b1")), "open1"
+        )
+        inside = live.join(open1, on & (F.col("c1") == F.col("o1"))).drop("__s")
+        level2 = inside.groupBy("source", "c2", "__rest", "b1").agg(F.sum("size").alias("__words"))
+        open2 = scratch.save(
+            _first_open(level2.withColumn("__rest", F.col("__rest") - F.col("b1")), ["source"], "c2", F.col("__rest")).select(
+                F.col("source").alias("__s2"), F.col("__rest").alias("rest2"), F.col("__at.c").alias("o2"), F.col("__at.b").alias("b2")
+            ),
+            "open2",
+        )
+        # Only the ranks of one cell of the second level are ordered: the last few documents of each source.
+        edge = inside.join(open2, F.col("source").eqNullSafe(F.col("__s2")) & (F.col("c2") == F.col("o2"))).drop("__s2")
+        order = Window.partitionBy("source").orderBy("rank", "doc_id", "u").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        edge = edge.withColumn("cum", F.sum("size").over(order) + F.col("b2"))
+        nearer = F.col("cum") - F.col("rest2") < F.col("rest2") - (F.col("cum") - F.col("size"))
+        won = edge.where((F.col("cum") <= F.col("rest2")) | ((F.col("cum") - F.col("size") < F.col("rest2")) & nearer))
+        cut = won.groupBy("source").agg(F.max(F.struct("rank", "doc_id", "u")).alias("last")).withColumnRenamed("source", "__s3")
+        bounds = open1.join(open2.select("__s2", "o2"), F.col("__s").eqNullSafe(F.col("__s2")), "left").drop("__s2")
+        return scratch.save(bounds.join(cut, F.col("__s").eqNullSafe(F.col("__s3")), "left").select("__s", "o1", "o2", "last"), "bounds")
+
+    def decide(self, ranked: DataFrame) -> DataFrame:
+        """Ranked rows with their ``copies``."""
+        chosen = (
+            F.when(F.col("rank").isNull(), False)
+            .when(F.col("o1").isNull() | (F.col("c1") < F.col("o1")), True)
+            .when(F.col("c1") > F.col("o1"), False)
+            .when(F.col("c2") != F.col("o2"), F.col("c2") < F.col("o2"))
+            .otherwise(F.coalesce(F.struct("rank", "doc_id", "u") <= F.col("last"), F.lit(False)))
+        )
+        out = ranked.join(self.bounds, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
+        return out.withColumn("copies", F.least(F.col("whole") + chosen.cast("long"), F.lit(self.max_repeat)).cast("long"))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """Per document: doc_id, size, source_size, target, copies and taken words. Options as in ``Mix``."""
+    plan = Mix(docs, **options)
+    return plan.decide(plan.ranked).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def repeat_by_mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents themselves: a row for each copy taken, columns as in ``docs``."""
-    seed = options.get("seed", 17)
-    decided = mix(docs, **options).groupBy("doc_id", "u").agg(F.max("copies").alias("__n"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumn("__u", unit_hash(F.lit(seed), F.col("doc_id"), F.xxhash64(text)))
-    joined = keyed.join(decided.select(F.col("doc_id").alias("__id"), F.col("u").alias("__v"), "__n"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__u") == F.col("__v")))
-    times = F.explode(F.array_repeat(F.lit(1), F.col("__n").cast("int"))).alias("__copy")
-    return joined.select(*docs.columns, times).drop("__copy")
+    """The mixed documents themselves: a row for each copy taken, columns as in ``docs``. Texts meet only the small tables of sources."""
+    plan = Mix(docs, **options)
+    rows = plan._ranked(plan._sized(docs, F.struct(*docs.columns).alias("__row")))
+    times = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("__copy")
+    return plan.decide(rows).where("copies > 0").select("__row", times).select("__row.*")

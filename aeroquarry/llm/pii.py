@@ -130,21 +130,21 @@ def _judged(text: Column, kind: str, spans: Column, strict: bool) -> Column:
     return F.transform(spans, one).cast(f"array<{FOUND}>")
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, found): every candidate span of each whole text; base spans are marked."""
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    text = F.col("text")
+def with_found(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__found``: every candidate span of each whole text; base spans are marked."""
+    rows = docs.withColumn("__text", F.coalesce(F.col("text"), F.lit("")))
+    text = F.col("__text")
     digit = text.rlike("[0-9]")
-    for kind in KINDS:
-        guard = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else digit
-        rows = rows.withColumn(kind, _matches(text, BASE[kind], guard))
-    rows = rows.withColumn("email2", _matches(text, LOOSE["email"], F.contains(text, F.lit("at]")) | F.contains(text, F.lit("at)"))))
-    rows = rows.withColumn("phone2", _matches(text, LOOSE["phone"], digit))
-    clear = lambda own: lambda x: ~F.exists(own, lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"]))
-    judged = [_judged(text, k, F.col(k), True) for k in KINDS]
-    judged += [_judged(text, k, F.filter(F.col(f"{k}2"), clear(F.col(k))), False) for k in ("email", "phone")]
-    some = F.greatest(*(F.size(c) for c in (*KINDS, "email2", "phone2"))) > 0
-    return rows.select("doc_id", F.when(some, F.concat(*judged)).otherwise(F.array().cast(f"array<{FOUND}>")).alias("found"))
+    own = {kind: F.col(f"__{kind}") for kind in KINDS}
+    spans = {f"__{kind}": _matches(text, BASE[kind], F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else digit) for kind in KINDS}
+    spans["__email2"] = _matches(text, LOOSE["email"], F.contains(text, F.lit("at]")) | F.contains(text, F.lit("at)")))
+    spans["__phone2"] = _matches(text, LOOSE["phone"], digit)
+    rows = rows.withColumns(spans)
+    clear = lambda base: lambda x: ~F.exists(base, lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"]))
+    judged = [_judged(text, k, own[k], True) for k in KINDS]
+    judged += [_judged(text, k, F.filter(F.col(f"__{k}2"), clear(own[k])), False) for k in ("email", "phone")]
+    some = F.greatest(*(F.size(c) for c in spans)) > 0
+    return rows.withColumn("__found", F.when(some, F.concat(*judged)).otherwise(F.array().cast(f"array<{FOUND}>"))).drop("__text", *spans)
 
 
 def _unpack(code: int) -> tuple[int, tuple[int, int, int], int, int]:
@@ -204,17 +204,35 @@ def span_classifier(counts: dict[int, int], post: dict[int, float], rounds: int
     return {c for c, score in zip(codes, x @ beta, strict=True) if score > 0 and post[c] > 0.5}
 
 
+def _accepted(found: DataFrame, column: str) -> set[int]:
+    """Codes of candidates that the fitted classifier takes; a few hundred counts come back to the driver."""
+    rows = found.select(F.explode(f"{column}.code").alias("code")).groupBy("code").count().collect()
+    counts = {r["code"]: r["count"] for r in rows}
+    return span_classifier(counts, reliabilities(counts))
+
+
+def _chosen(found: Column, accepted: set[int]) -> Column:
+    codes = F.array(*map(F.lit, sorted(accepted))) if accepted else F.array().cast("array<int>")
+    kept = F.filter(found, lambda x: x["base"] | F.array_contains(codes, x["code"]))
+    return F.sort_array(F.transform(kept, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["base"].alias("base"))))
+
+
 def find_pii(docs: DataFrame) -> DataFrame:
     """(doc_id, spans): array of (kind, start, end, base), by kind, then start; added spans have base false."""
     scratch = Scratch(docs.sparkSession, "pii")
-    found = scratch.save(candidates(docs), "found")
-    rows = found.select(F.explode("found.code").alias("code")).groupBy("code").count().collect()  # a few hundred at most
-    counts = {r["code"]: r["count"] for r in rows}
-    accepted = span_classifier(counts, reliabilities(counts))
-    codes = F.array(*map(F.lit, sorted(accepted))) if accepted else F.array().cast("array<int>")
-    kept = F.filter("found", lambda x: x["base"] | F.array_contains(codes, x["code"]))
-    spans = F.sort_array(F.transform(kept, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["base"].alias("base"))))
-    return found.select("doc_id", spans.alias("spans"))
+    found = scratch.save(with_found(docs.select("doc_id", "text")).select("doc_id", F.col("__found").alias("found")), "found")
+    return found.select("doc_id", _chosen(F.col("found"), _accepted(found, "found")).alias("spans"))
+
+
+def mask_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` with every span masked; ``n_chars``, where there is one, follows the text. Texts never move: spans are found again."""
+    scratch = Scratch(docs.sparkSession, "pii-mask")
+    found = scratch.save(with_found(docs.select("text")).select(F.col("__found").alias("found")), "found")
+    marked = with_found(docs).withColumn("__spans", _chosen(F.col("__found"), _accepted(found, "found")))
+    changes = {"text": mask(F.col("text"), F.col("__spans"))}
+    if "n_chars" in docs.columns:
+        changes["n_chars"] = F.when(F.size("__spans") > 0, F.length(changes["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return marked.withColumns(changes).select(*docs.columns)
 
 
 def mask(text: Column, spans: Column) -> Column:

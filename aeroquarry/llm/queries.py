@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, jaccard_join, media, mixing, packing, pii, quality_rules, url_filters
+from . import chat, classifier, jaccard_join, media, mixing, packing, pii, quality_rules, suffix_dedup, url_filters
 from ._util import table
 
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -48,6 +48,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
     return media.media(table(spark, sf_dir, "documents")).select(*columns)
@@ -66,7 +70,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_mixing, op4_chat_formatting, op5_best_fit_packing, op6_quality_classifier, op8_media_columns, op9_ngram_jaccard_join, op10_pii)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_mixing, op4_chat_formatting, op5_best_fit_packing, op6_quality_classifier, op7_suffix_array_dedup, op8_media_columns, op9_ngram_jaccard_join, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
