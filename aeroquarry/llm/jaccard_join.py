@@ -1,12 +1,13 @@
 """Operator 9: exact n-gram Jaccard join, size-aware.
 
 Two texts link when the Jaccard similarity of their word-shingle sets reaches a
-threshold. Every set is ordered by how common its shingles are (a sketch of
-counts over all documents; any fixed order is right, a good one is fast), so that
-linked sets must share part of a short rare-first prefix. Small sets enumerate
-fixed-size subsets (pairs) of that prefix, large sets put single shingles into
-inverted lists; a cost model over the measured sizes and counts places the
-boundary, and sets near it do both.
+threshold. Shingles are counted over all documents first: a shingle of one text
+can't be part of a link, so only shared ones go on. Every set is ordered from
+rare to common, and linked sets must share part of a short prefix of that order;
+most sets have enough shingles of their own to fill it, and leave at once.
+Of the others, small sets enumerate fixed-size subsets (pairs) of their prefix,
+large sets put single shingles into inverted lists; a cost model over the
+measured subsets and list lengths places the boundary, and sets near it do both.
 
 Lists are never expanded into pairs. All members of a list are tied to one of
 them, and connected components of these ties are the candidate clusters: links
@@ -14,8 +15,8 @@ can only lie inside. Clusters are checked exactly, set against set; a large one
 is split into blocks and checked block by block, so no task grows with it.
 Checked links give each document's component.
 
-Texts are identified by a 64-bit hash (copies of a text are one node), shingles
-by another.
+Texts are identified by a 64-bit hash (copies of a text are one node, sent once
+by each task), shingles by 48 bits and their bucket.
 
 Defined results: null and blank texts have no shingles and link with nothing,
 not even each other; texts of fewer words than a shingle are one shingle; texts
@@ -29,23 +30,23 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
 from ._util import Scratch
 from .graph import components
+from .packed import merged, pack, split_by, unpack
 
-#: Counters of the sketch: 16 MB once summed, whatever the input.
-SKETCH, SKETCH_BLOCK = 1 << 22, 1 << 16
-#: Bits of the filter that spares most texts a second hashing: 4 MB.
-FILTER_BITS = 1 << 25
+#: Shingles that a task combines at once, that a bucket stands for, and that a group of texts gets back.
+FLUSH_GRAMS, BUCKET_GRAMS, GROUP_GRAMS = 2_000_000, 2_000_000, 2_000_000
 #: Sets of at most this size may enumerate subsets.
 MOST_LIGHT = 64
 #: Nodes that one block holds; a check sees two blocks at most.
 BLOCK_NODES = 512
 CHUNK = 4096
+PARTS = "place int, payload binary"
+CANDIDATES = "node long, n int, single int, pair int, scan long, rare array<long>, grams binary"
 
 
 def least_overlap(n, pct: int):
@@ -58,137 +59,142 @@ def prefix(n, pct: int, share: int = 1):
     return n - least_overlap(n, pct) + share
 
 
-def _counted(k: int):
-    """Per task: shingle counts by hash cell, and counts of small set sizes (block -1)."""
-
+def _sizes(k: int):
     def run(batches):
-        cells, sizes = np.zeros(SKETCH, np.uint32), np.zeros(MOST_LIGHT + 2, np.uint64)
         powers = shingles.Powers()
         for batch in batches:
-            for s in shingles.sets(batch.column(0), k, powers):
-                if len(s):
-                    np.add.at(cells, (s & shingles.U(SKETCH - 1)).astype(np.int64), 1)
-                    sizes[min(len(s), MOST_LIGHT + 1)] += shingles.U(1)
-        pack = zstandard.ZstdCompressor(level=1)
-        blocks = [(i, pack.compress(cells[i * SKETCH_BLOCK : (i + 1) * SKETCH_BLOCK].tobytes())) for i in range(SKETCH // SKETCH_BLOCK) if cells[i * SKETCH_BLOCK : (i + 1) * SKETCH_BLOCK].any()]
-        blocks.append((-1, pack.compress(sizes.tobytes())))
-        yield pa.RecordBatch.from_arrays([pa.array([b[0] for b in blocks], pa.int32()), pa.array([b[1] for b in blocks], pa.binary())], ["block", "cells"])
+            n = [len(s) for s in shingles.sets(batch.column(2), k, powers)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "node", "n_shingles"])
 
     return run
 
 
-def _summed(frames):
-    """Sums of the blocks that meet in a partition, one of each."""
-    totals: dict[int, np.ndarray] = {}
-    unpack = zstandard.ZstdDecompressor()
-    for pdf in frames:
-        for block, cells in zip(pdf["block"], pdf["cells"], strict=True):
-            part = np.frombuffer(unpack.decompress(cells), np.uint32 if block >= 0 else np.uint64)
-            if block in totals:
-                totals[block] += part
-            else:
-                totals[block] = part.copy()
-    if totals:
-        pack = zstandard.ZstdCompressor(level=1)
-        yield pd.DataFrame({"block": list(totals), "cells": [pack.compress(t.tobytes()) for t in totals.values()]})
-
-
-def sketch(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of all shingles by hash cell and of all small set sizes; fixed in size."""
-    counted = texts.mapInArrow(_counted(k), "block int, cells binary")
-    rows = counted.repartition("block").mapInPandas(_summed, "block int, cells binary").collect()
-    cells, sizes, unpack = np.zeros(SKETCH, np.uint32), np.zeros(MOST_LIGHT + 2, np.uint64), zstandard.ZstdDecompressor()
-    for r in rows:
-        data = unpack.decompress(bytes(r["cells"]))
-        if r["block"] < 0:
-            sizes += np.frombuffer(data, np.uint64)
-        else:
-            cells[r["block"] * SKETCH_BLOCK : (r["block"] + 1) * SKETCH_BLOCK] += np.frombuffer(data, np.uint32)
-    return cells, sizes
-
-
-def boundary(cells: np.ndarray, sizes: np.ndarray, pct: int) -> int:
-    """Largest size that enumerates subsets: the cheapest by entries made and list entries met."""
-    total = float(cells.sum())
-    if not total:
-        return 0
-    # Entries that a list entry meets, over what chance alone puts into a cell.
-    scan = max(1.0, float((cells.astype(float) ** 2).sum()) / total / (total / SKETCH + 1))
-    ns = np.arange(1, MOST_LIGHT + 1)
-    p1, p2 = prefix(ns, pct), prefix(ns, pct, 2)
-    light, heavy, count = p2 * (p2 - 1) / 2, p1 * (1 + scan), sizes[1 : MOST_LIGHT + 1].astype(float)
-
-    def cost(x: int) -> float:
-        return float((count * light)[ns <= x].sum() + (count * heavy)[ns >= least_overlap(x + 1, pct)].sum())
-
-    return min(range(MOST_LIGHT + 1), key=cost)
+def _dealt(k: int, buckets: int):
+    """Shingles of each task's texts by bucket; a text that the task has sent already is left out."""
 
+    def flush(nodes: list[int], found: list[np.ndarray]):
+        sizes = np.array([len(s) for s in found], np.int64)
+        grams, owner = np.concatenate(found), np.repeat(np.arange(len(found)), sizes)
+        own = np.array(nodes, np.int64)
+        place = ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        for b, (g, o) in split_by(place, grams, owner):
+            rows, counts = np.unique(o, return_counts=True)  # order is kept, so owners rise
+            payload = pack(own[rows], sizes[rows].astype(np.uint32), counts.astype(np.uint32), g.astype(np.uint32), (g >> np.uint64(32)).astype(np.uint16))
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([payload], pa.binary())], ["place", "payload"])
 
-def signatures(s: np.ndarray, cells: np.ndarray, edge: int, pct: int) -> np.ndarray:
-    """List keys of a set: pairs out of its prefix if small, single shingles if large, both near the boundary."""
-    n = len(s)
-    if not n:
-        return s
-    common = cells[(s & shingles.U(SKETCH - 1)).astype(np.int64)]
-    ordered = s[np.lexsort((s, common))]
-    out = []
-    if n <= edge:
-        first = ordered[: prefix(n, pct, 2)] if least_overlap(n, pct) >= 2 else np.concatenate([ordered, ordered])
-        i, j = np.triu_indices(len(first), 1)
-        a, b = np.minimum(first[i], first[j]), np.maximum(first[i], first[j])
-        out.append(shingles.mix(a * shingles.PLACE_CODES[40] + b * shingles.PLACE_CODES[41]))
-    if n >= least_overlap(edge + 1, pct):
-        out.append(shingles.mix(ordered[: prefix(n, pct)] + shingles.U(5)))
-    return np.concatenate(out) if len(out) > 1 else out[0]
-
-
-def _signed(k: int, pct: int, cells, edge: int):
     def run(batches):
-        powers, table = shingles.Powers(), cells.value
+        powers, seen, nodes, found, held = shingles.Powers(), set(), [], [], 0
         for batch in batches:
-            counts, lists = [], []
-            for s in shingles.sets(batch.column(2), k, powers):
-                counts.append(len(s))
-                lists.append(shingles.as_long(signatures(s, table, edge, pct)))
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "node", "n_shingles", "keys"]
-            )
+            fresh = []
+            for i, node in enumerate(batch.column(0).to_pylist()):
+                if node not in seen:
+                    seen.add(node)
+                    fresh.append(i)
+            part = batch.take(pa.array(fresh, pa.int64()))
+            for node, s in zip(part.column(0).to_pylist(), shingles.sets(part.column(1), k, powers), strict=True):
+                if len(s):
+                    nodes.append(node)
+                    found.append(s)
+                    held += len(s)
+                if held >= FLUSH_GRAMS:
+                    yield from flush(nodes, found)
+                    nodes, found, held = [], [], 0
+        if found:
+            yield from flush(nodes, found)
 
     return run
 
 
-def _sets_of(k: int, bits):
-    """Sets of the texts that pass the filter, each text once a task."""
+def _shared(groups: int):
+    """Of a bucket's shingles those of two texts or more, with their counts, by group of texts."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        bucket = np.uint64(int(pdf["place"].iloc[0]))
+        parts = [unpack(bytes(x)) for x in pdf["payload"]]
+        node, size = (np.concatenate([np.repeat(x[i], x[2]) for x in parts]) for i in (0, 1))
+        gram = np.concatenate([x[3].astype(np.uint64) | (x[4].astype(np.uint64) << np.uint64(32)) for x in parts])
+        order = np.lexsort((node, gram))
+        node, size, gram = node[order], size[order], gram[order]
+        keep = np.ones(len(gram), bool)
+        keep[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])  # a text comes once from each task
+        node, size, gram = node[keep], size[keep], gram[keep]
+        heads = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        count = np.repeat(np.diff(np.append(heads, len(gram))), np.diff(np.append(heads, len(gram))))
+        more = count > 1
+        node, size, gram, count = node[more], size[more], gram[more], count[more]
+        gram |= bucket << np.uint64(48)
+        place = (node.view(np.uint64) % np.uint64(groups)).astype(np.int64)
+        out = []
+        for g, (x, n, t, c) in split_by(place, node, size, gram, count):
+            by = np.argsort(x, kind="stable")
+            x, n, t, c = x[by], n[by], t[by], c[by]
+            first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+            out.append((g, pack(x[first], n[first], np.diff(np.append(first, len(x))).astype(np.uint32), t, np.minimum(c, 2**32 - 1).astype(np.uint32))))
+        return pd.DataFrame(out, columns=["place", "payload"])
+
+    return run
 
-    def run(batches):
-        powers, table, seen = shingles.Powers(), bits.value, set()
-        for batch in batches:
-            nodes = batch.column(0).to_numpy()
-            at = nodes.view(np.uint64) % np.uint64(FILTER_BITS)
-            hit = np.flatnonzero((table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1)
-            fresh = []
-            for i in hit.tolist():
-                if (node := int(nodes[i])) not in seen:
-                    seen.add(node)
-                    fresh.append(i)
-            if fresh:
-                found = list(shingles.sets(batch.column(1).take(pa.array(fresh)), k, powers))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[fresh]), pa.array([s.tobytes() for s in found], pa.binary())], ["node", "grams"])
+
+def _candidates(pct: int):
+    """Texts whose own shingles do not fill their prefix: its shared part, rare first, and all shared shingles."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpack(bytes(x)) for x in pdf["payload"]]
+        node, size = (np.concatenate([np.repeat(x[i], x[2]) for x in parts]) for i in (0, 1))
+        gram, count = np.concatenate([x[3] for x in parts]), np.concatenate([x[4] for x in parts])
+        order = np.lexsort((gram, count, node))
+        node, size, gram, count = node[order], size[order].astype(np.int64), gram[order], count[order]
+        heads = np.append(np.flatnonzero(np.append(True, node[1:] != node[:-1])), len(node))
+        out = []
+        for a, b in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+            n = int(size[a])
+            own = n - (b - a)
+            two = min(2, least_overlap(n, pct))
+            single, pair = max(0, prefix(n, pct) - own), max(0, prefix(n, pct, two) - own)
+            if max(single, pair) > 0:
+                rare = gram[a : a + max(single, pair)]
+                scan = int(count[a : a + single].sum())
+                out.append((int(node[a]), n, single, pair, scan, rare.view(np.int64), np.sort(gram[a:b]).tobytes()))
+        return pd.DataFrame(out, columns=["node", "n", "single", "pair", "scan", "rare", "grams"])
 
     return run
 
 
-def _node_filter(nodes: DataFrame) -> np.ndarray:
-    """A bit array of node hashes; a fixed number of 64-bit words comes back."""
-    bit = F.pmod(F.col("node"), F.lit(FILTER_BITS))
-    # pmod of a signed long agrees with the unsigned remainder, as the modulus is a power of two.
-    words = nodes.select((bit / 64).cast("long").alias("w"), F.expr(f"shiftleft(1L, cast(pmod(pmod(node, {FILTER_BITS}), 64) as int))").alias("b"))
-    rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64)
-    return out.view(np.uint8)
+def boundary(rows: list[tuple[int, int, int]], pct: int) -> int:
+    """Largest size that enumerates subsets, from (size, subsets, list entries met) of small sets: the cheapest of all."""
+    n = np.array([r[0] for r in rows])
+    light, heavy = (np.array([float(r[i]) for r in rows]) for i in (1, 2))
+
+    def cost(x: int) -> float:
+        return float(light[n <= x].sum() + heavy[n >= least_overlap(x + 1, pct)].sum()) if len(rows) else 0.0
+
+    return min(range(MOST_LIGHT + 1), key=cost)
+
+
+def _keys(pct: int, edge: int):
+    """List keys: pairs of a small set's prefix, single shingles of a large one's, both near the boundary."""
+
+    def run(frames):
+        for pdf in frames:
+            nodes, keys = [], []
+            for node, n, single, pair, rare in pdf[["node", "n", "single", "pair", "rare"]].itertuples(index=False):
+                rare = np.asarray(rare, np.int64).view(np.uint64)
+                if n <= edge:
+                    first = rare[:pair]
+                    if least_overlap(n, pct) >= 2:
+                        i, j = np.triu_indices(len(first), 1)
+                        a, b = np.minimum(first[i], first[j]), np.maximum(first[i], first[j])
+                    else:
+                        a = b = first
+                    keys.append(shingles.mix(a * shingles.PLACE_CODES[40] + b * shingles.PLACE_CODES[41]))
+                    nodes.append(np.full(len(a), node, np.int64))
+                if n >= least_overlap(edge + 1, pct):
+                    keys.append(shingles.mix(rare[:single] + np.uint64(5)))
+                    nodes.append(np.full(single, node, np.int64))
+            if keys:
+                yield pd.DataFrame({"node": np.concatenate(nodes), "key": np.concatenate(keys).view(np.int64)})
+
+    return run
 
 
 def overlaps(grams: list[np.ndarray]) -> np.ndarray:
@@ -218,7 +224,7 @@ def _linked(pct: int):
     def one(pdf: pd.DataFrame) -> list[tuple[int, int, int]]:
         grams = [np.frombuffer(g, np.uint64) for g in pdf["grams"]]
         nodes, side = pdf["node"].to_numpy(), pdf["side"].to_numpy()
-        n = np.array([len(g) for g in grams])
+        n = pdf["n"].to_numpy(np.int64)
         both = overlaps(grams)
         link = 100 * both >= pct * (n[:, None] + n[None, :] - both)
         np.fill_diagonal(link, False)
@@ -257,37 +263,38 @@ def jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
     scratch = Scratch(spark, "jaccard")
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"))
-    cells, sizes = sketch(keyed.select("text"), k)
-    edge = boundary(cells, sizes, pct)
-    shared = spark.sparkContext.broadcast(cells)
-    signed = scratch.save(keyed.mapInArrow(_signed(k, pct, shared, edge), "doc_id long, node long, n_shingles long, keys array<long>"), "signed")
-    entries = signed.select("node", F.explode("keys").alias("key"))
+    ids = scratch.save(keyed.mapInArrow(_sizes(k), "doc_id long, node long, n_shingles long"), "ids")
+    total = int(ids.agg(F.sum("n_shingles")).first()[0] or 0)
+    buckets, groups = max(1, total // BUCKET_GRAMS), max(1, total // GROUP_GRAMS)
+    dealt = keyed.select("node", "text").mapInArrow(_dealt(k, buckets), PARTS)
+    shared = dealt.groupBy("place").applyInPandas(_shared(groups), PARTS)
+    rows = scratch.save(shared.groupBy("place").applyInPandas(_candidates(pct), CANDIDATES), "candidates")
+    pairs = F.when(F.col("pair") > 1, F.col("pair") * (F.col("pair") - 1) / 2).otherwise(F.col("pair"))
+    costs = rows.where(F.col("n") <= MOST_LIGHT).groupBy("n").agg(F.sum(pairs), F.sum("scan")).collect()  # a row for each small size
+    edge = boundary([tuple(r) for r in costs], pct)
+    entries = scratch.save(rows.select("node", "n", "single", "pair", "rare").mapInPandas(_keys(pct, edge), "node long, key long"), "entries")
     heads = entries.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").select(F.col("key").alias("k2"), "hub")
     ties = entries.join(heads, F.col("key") == F.col("k2")).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     clusters = scratch.save(components(scratch.save(ties, "ties"), scratch, "clusters"), "clusters")
     # Clusters of at most a block are checked many at a time; larger ones block against block.
     counts = clusters.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     small = counts.where(F.col("size") <= BLOCK_NODES).agg(F.sum("size")).first()[0] or 0
-    groups = max(1, int(small) // BLOCK_NODES)
+    parts = max(1, int(small) // BLOCK_NODES)
     sized = clusters.join(counts.withColumnRenamed("label", "l2"), F.col("label") == F.col("l2")).drop("l2")
     blocks = F.ceil(F.col("size") / (BLOCK_NODES // 2)).cast("int")
-    own = F.when(F.col("size") > BLOCK_NODES, F.pmod(F.xxhash64("node"), blocks).cast("int")).otherwise(F.lit(0))
-    other = F.explode(F.when(F.col("size") > BLOCK_NODES, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.lit(0)))).alias("other")
-    dealt = sized.select("node", "label", "size", own.alias("own"), other)
     big = F.col("size") > BLOCK_NODES
-    dealt = dealt.select(
+    own = F.when(big, F.pmod(F.xxhash64("node"), blocks).cast("int")).otherwise(F.lit(0))
+    other = F.explode(F.when(big, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.lit(0)))).alias("other")
+    placed = sized.select("node", "label", "size", own.alias("own"), other).select(
         F.col("node").alias("n2"), "label", F.col("own").alias("side"), (F.col("own") != F.col("other")).alias("differ"),
-        F.when(big, F.col("label")).otherwise(F.pmod(F.xxhash64("label"), F.lit(groups))).alias("g0"),
+        F.when(big, F.col("label")).otherwise(F.pmod(F.xxhash64("label"), F.lit(parts))).alias("g0"),
         F.when(big, F.least("own", "other")).otherwise(F.lit(-1)).alias("g1"), F.when(big, F.greatest("own", "other")).otherwise(F.lit(-1)).alias("g2"),
     )
-    bits = spark.sparkContext.broadcast(_node_filter(clusters.select("node")))
-    grams = keyed.select("node", "text").mapInArrow(_sets_of(k, bits), "node long, grams binary")
-    checked = grams.join(dealt, F.col("node") == F.col("n2")).select("node", "grams", "label", "side", F.col("differ").alias("cross"), "g0", "g1", "g2")
+    checked = rows.select("node", "n", "grams").join(placed, F.col("node") == F.col("n2")).select("node", "n", "grams", "label", "side", F.col("differ").alias("cross"), "g0", "g1", "g2")
     links = scratch.save(checked.groupBy("g0", "g1", "g2").applyInPandas(_linked(pct), "a long, b long, links long"), "links")
     found = components(links.where("a <> b"), scratch, "found")
     degree = links.groupBy(F.col("a").alias("n3")).agg(F.sum("links").alias("n_links"))
     of_node = scratch.save(found.join(degree, F.col("node") == F.col("n3"), "left").select(F.col("node").alias("n4"), "label", "n_links"), "of_node")
-    ids = signed.select("doc_id", "node", "n_shingles")
     classed = ids.join(of_node, F.col("node") == F.col("n4"), "left").select("doc_id", "n_shingles", F.coalesce("label", "node").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     classed = scratch.save(classed, "classed")
     least = classed.where("n_shingles > 0").groupBy(F.col("class").alias("c2")).agg(F.min("doc_id").alias("least"))
