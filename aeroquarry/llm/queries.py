@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import chat, classifier, jaccard_join, media, mixing, packing, pii, quality_rules, suffix_dedup, url_filters
 from ._util import table
+from .oracles import oracle_sql  # noqa: F401
 
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -71,7 +72,3 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_quality_rules, op2_url_filters, op3_mixing, op4_chat_formatting, op5_best_fit_packing, op6_quality_classifier, op7_suffix_array_dedup, op8_media_columns, op9_ngram_jaccard_join, op10_pii)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
