@@ -32,6 +32,9 @@ DICT_BYTES = 112_640
 LEVEL = 3
 ACCEPT = 0.3
 N_FEATURES = 9
+FOLDS = 5
+#: Strength of the ridge, for one text of the rarer label.
+RIDGE = 0.01
 
 
 @dataclass
@@ -94,28 +97,29 @@ def dictionary(texts: list[str], size: int = DICT_BYTES) -> bytes:
 
 
 def fit(good: list[str], bad: list[str], priors: tuple[int, int] | None = None) -> Model:
-    """Dictionaries from every second text, the logistic fit on the others, so that it is not fooled by texts it holds."""
+    """Cross-fitted: the logistic fit sees each text under dictionaries built without its fold; the final ones hold all."""
     n_good, n_bad = priors or (len(good), len(bad))
     if not good or not bad:
         share = (n_good + 1) / (n_good + n_bad + 2)
         return Model(b" " * 64, b" " * 64, [0.0] * N_FEATURES, [1.0] * N_FEATURES, [math.log(share / (1 - share)), *[0.0] * N_FEATURES])
-    held = lambda t: t[1::2] or t
-    model = Model(dictionary(good[::2]), dictionary(bad[::2]), [], [], [])
-    sizer = Sizer(model.good, model.bad)
-    texts = held(good) + held(bad)
-    x = np.array([sizer.features(t) for t in texts])
-    y = np.array([1.0] * len(held(good)) + [0.0] * len(held(bad)))
-    weight = np.where(y > 0, n_good / max(1, (y > 0).sum()), n_bad / max(1, (y == 0).sum())) / (n_good + n_bad)
+    x, y = [], []
+    for fold in range(FOLDS):
+        rest = [[t for i, t in enumerate(part) if i % FOLDS != fold] or part for part in (good, bad)]
+        sizer = Sizer(dictionary(rest[0]), dictionary(rest[1]))
+        for label, part in ((1.0, good), (0.0, bad)):
+            x += [sizer.features(t) for t in part[fold::FOLDS]]
+            y += [label] * len(part[fold::FOLDS])
+    x, y = np.array(x), np.array(y)
+    weight = np.where(y > 0, n_good / len(good), n_bad / len(bad)) / (n_good + n_bad)
     center, scale = x.mean(0), x.std(0) + 1e-6
     z = np.column_stack([np.ones(len(x)), np.clip((x - center) / scale, -8, 8)])
+    ridge = np.diag([1e-6] + [RIDGE / min(len(good), len(bad))] * x.shape[1])  # keeps separable labels finite
     beta = np.zeros(z.shape[1])
-    for _ in range(50):  # Newton's method, with a ridge that keeps separable labels finite
+    for _ in range(50):  # Newton's method
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        ridge = np.diag([1e-6] + [1e-3] * x.shape[1])
-        grad = z.T @ (weight * (p - y)) + ridge @ beta
-        beta -= np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + ridge, grad)
-    model.center, model.scale, model.weights = center.tolist(), scale.tolist(), beta.tolist()
-    return model
+        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + ridge, z.T @ (weight * (p - y)) + ridge @ beta)
+        beta -= step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
+    return Model(dictionary(good), dictionary(bad), center.tolist(), scale.tolist(), beta.tolist())
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, sample: int = 1500) -> Model:
