@@ -39,7 +39,7 @@ from .graph import components
 from .packed import merged, pack, split_by, unpack
 
 #: Shingles that a task combines at once, that a bucket stands for, and that a group of texts gets back.
-FLUSH_GRAMS, BUCKET_GRAMS, GROUP_GRAMS = 2_000_000, 2_000_000, 2_000_000
+FLUSH_GRAMS, BUCKET_GRAMS, GROUP_GRAMS = 1_000_000, 3_000_000, 3_000_000
 #: Sets of at most this size may enumerate subsets.
 MOST_LIGHT = 64
 #: Nodes that one block holds; a check sees two blocks at most.
@@ -69,18 +69,21 @@ def _sizes(k: int):
     return run
 
 
-def _dealt(k: int, buckets: int):
-    """Shingles of each task's texts by bucket; a text that the task has sent already is left out."""
+def _dealt(k: int, buckets: int, groups: int):
+    """Shingles of each task's texts by bucket, and set sizes by group (negative places); a text that the task has sent already is left out."""
 
     def flush(nodes: list[int], found: list[np.ndarray]):
         sizes = np.array([len(s) for s in found], np.int64)
-        grams, owner = np.concatenate(found), np.repeat(np.arange(len(found)), sizes)
+        grams, owner = np.concatenate(found), np.repeat(np.arange(len(found), dtype=np.int32), sizes)
         own = np.array(nodes, np.int64)
+        rows: list[tuple[int, bytes]] = []
+        for g, (x, n) in split_by(_group(own, groups), own, sizes.astype(np.uint32)):
+            rows.append((-1 - g, pack(x, n)))
         place = ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         for b, (g, o) in split_by(place, grams, owner):
-            rows, counts = np.unique(o, return_counts=True)  # order is kept, so owners rise
-            payload = pack(own[rows], sizes[rows].astype(np.uint32), counts.astype(np.uint32), g.astype(np.uint32), (g >> np.uint64(32)).astype(np.uint16))
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([payload], pa.binary())], ["place", "payload"])
+            docs, counts = np.unique(o, return_counts=True)  # order is kept, so owners rise
+            rows.append((b, pack(own[docs], counts.astype(np.uint32), g.astype(np.uint32), (g >> np.uint64(32)).astype(np.uint16))))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["place", "payload"])
 
     def run(batches):
         powers, seen, nodes, found, held = shingles.Powers(), set(), [], [], 0
@@ -105,31 +108,46 @@ def _dealt(k: int, buckets: int):
     return run
 
 
+def _group(node: np.ndarray, groups: int) -> np.ndarray:
+    return (node.view(np.uint64) % np.uint64(groups)).astype(np.int64)
+
+
 def _shared(groups: int):
-    """Of a bucket's shingles those of two texts or more, with their counts, by group of texts."""
+    """Of a bucket's shingles those of two texts or more, with their counts, by group of texts; sizes go on to their group."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        bucket = np.uint64(int(pdf["place"].iloc[0]))
+        bucket = int(pdf["place"].iloc[0])
+        if bucket < 0:
+            return pd.DataFrame({"place": -1 - bucket, "payload": pdf["payload"]})
         parts = [unpack(bytes(x)) for x in pdf["payload"]]
-        node, size = (np.concatenate([np.repeat(x[i], x[2]) for x in parts]) for i in (0, 1))
-        gram = np.concatenate([x[3].astype(np.uint64) | (x[4].astype(np.uint64) << np.uint64(32)) for x in parts])
-        order = np.lexsort((node, gram))
-        node, size, gram = node[order], size[order], gram[order]
+        nodes, index = np.unique(np.concatenate([x[0] for x in parts]), return_inverse=True)
+        owner = np.repeat(index.astype(np.int32), np.concatenate([x[1] for x in parts]))
+        gram = np.concatenate([x[2].astype(np.uint64) | (x[3].astype(np.uint64) << np.uint64(32)) for x in parts])
+        del parts
+        order = np.argsort(gram, kind="stable")
+        gram, owner = gram[order], owner[order]
+        del order
+        # Drop what is alone at once; copies of a text from several tasks are told apart only among the rest.
+        near = np.zeros(len(gram), bool)
+        near[1:] = gram[1:] == gram[:-1]
+        near[:-1] |= near[1:]
+        gram, owner = gram[near], owner[near]
+        order = np.lexsort((owner, gram))
+        gram, owner = gram[order], owner[order]
         keep = np.ones(len(gram), bool)
-        keep[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])  # a text comes once from each task
-        node, size, gram = node[keep], size[keep], gram[keep]
-        heads = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
-        count = np.repeat(np.diff(np.append(heads, len(gram))), np.diff(np.append(heads, len(gram))))
+        keep[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
+        gram, owner = gram[keep], owner[keep]
+        heads = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.zeros(0, np.int64)
+        runs = np.diff(np.append(heads, len(gram)))
+        count = np.repeat(runs, runs)
         more = count > 1
-        node, size, gram, count = node[more], size[more], gram[more], count[more]
-        gram |= bucket << np.uint64(48)
-        place = (node.view(np.uint64) % np.uint64(groups)).astype(np.int64)
+        node, gram, count = nodes[owner[more]], gram[more] | (np.uint64(bucket) << np.uint64(48)), count[more]
         out = []
-        for g, (x, n, t, c) in split_by(place, node, size, gram, count):
+        for g, (x, t, c) in split_by(_group(node, groups), node, gram, count):
             by = np.argsort(x, kind="stable")
-            x, n, t, c = x[by], n[by], t[by], c[by]
+            x, t, c = x[by], t[by], c[by]
             first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
-            out.append((g, pack(x[first], n[first], np.diff(np.append(first, len(x))).astype(np.uint32), t, np.minimum(c, 2**32 - 1).astype(np.uint32))))
+            out.append((g, pack(x[first], np.diff(np.append(first, len(x))).astype(np.uint32), t, np.minimum(c, 2**32 - 1).astype(np.uint32))))
         return pd.DataFrame(out, columns=["place", "payload"])
 
     return run
@@ -140,21 +158,24 @@ def _candidates(pct: int):
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [unpack(bytes(x)) for x in pdf["payload"]]
-        node, size = (np.concatenate([np.repeat(x[i], x[2]) for x in parts]) for i in (0, 1))
-        gram, count = np.concatenate([x[3] for x in parts]), np.concatenate([x[4] for x in parts])
-        order = np.lexsort((gram, count, node))
-        node, size, gram, count = node[order], size[order].astype(np.int64), gram[order], count[order]
-        heads = np.append(np.flatnonzero(np.append(True, node[1:] != node[:-1])), len(node))
+        sizes = {n: s for x in parts if len(x) == 2 for n, s in zip(x[0].tolist(), x[1].tolist(), strict=True)}
+        parts = [x for x in parts if len(x) == 4]
         out = []
-        for a, b in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-            n = int(size[a])
-            own = n - (b - a)
-            two = min(2, least_overlap(n, pct))
-            single, pair = max(0, prefix(n, pct) - own), max(0, prefix(n, pct, two) - own)
-            if max(single, pair) > 0:
-                rare = gram[a : a + max(single, pair)]
-                scan = int(count[a : a + single].sum())
-                out.append((int(node[a]), n, single, pair, scan, rare.view(np.int64), np.sort(gram[a:b]).tobytes()))
+        if parts:
+            node = np.concatenate([np.repeat(x[0], x[1]) for x in parts])
+            gram, count = np.concatenate([x[2] for x in parts]), np.concatenate([x[3] for x in parts])
+            order = np.lexsort((gram, count, node))
+            node, gram, count = node[order], gram[order], count[order]
+            heads = np.append(np.flatnonzero(np.append(True, node[1:] != node[:-1])), len(node))
+            for a, b in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+                n = sizes[int(node[a])]
+                own = n - (b - a)
+                two = min(2, least_overlap(n, pct))
+                single, pair = max(0, prefix(n, pct) - own), max(0, prefix(n, pct, two) - own)
+                if max(single, pair) > 0:
+                    rare = gram[a : a + max(single, pair)]
+                    scan = int(count[a : a + single].sum())
+                    out.append((int(node[a]), n, single, pair, scan, rare.view(np.int64), np.sort(gram[a:b]).tobytes()))
         return pd.DataFrame(out, columns=["node", "n", "single", "pair", "scan", "rare", "grams"])
 
     return run
@@ -266,7 +287,7 @@ def jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
     ids = scratch.save(keyed.mapInArrow(_sizes(k), "doc_id long, node long, n_shingles long"), "ids")
     total = int(ids.agg(F.sum("n_shingles")).first()[0] or 0)
     buckets, groups = max(1, total // BUCKET_GRAMS), max(1, total // GROUP_GRAMS)
-    dealt = keyed.select("node", "text").mapInArrow(_dealt(k, buckets), PARTS)
+    dealt = keyed.select("node", "text").mapInArrow(_dealt(k, buckets, groups), PARTS)
     shared = dealt.groupBy("place").applyInPandas(_shared(groups), PARTS)
     rows = scratch.save(shared.groupBy("place").applyInPandas(_candidates(pct), CANDIDATES), "candidates")
     pairs = F.when(F.col("pair") > 1, F.col("pair") * (F.col("pair") - 1) / 2).otherwise(F.col("pair"))
