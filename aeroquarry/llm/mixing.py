@@ -74,7 +74,7 @@ class Mix:
         sources = scratch.save(sums, "sums")
         aims = scratch.save(targets(sources.select("source", "source_size"), weights, share_pct, max_repeat), "targets")
         aims = aims.join(sources.select(F.col("source").alias("s2"), "mass"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
-        self.aims = aims.withColumnRenamed("source", "__s")
+        self.aims = scratch.save(aims.withColumnRenamed("source", "__s"), "aims")  # stored, so the planner knows how small it is
         self.ranked = scratch.save(self._ranked(self.sized), "ranked")
         self.bounds = self._bounds(scratch)
 
