@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from . import shingles
 from ._util import Scratch
 from .graph import components
-from .packed import merged, pack, split_by, unpack
+from .packed import pack, split_by, unpack
 
 #: Shingles that a task combines at once, that a bucket stands for, and that a group of texts gets back.
 FLUSH_GRAMS, BUCKET_GRAMS, GROUP_GRAMS = 1_000_000, 3_000_000, 3_000_000
