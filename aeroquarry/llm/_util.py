@@ -13,6 +13,17 @@ BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = "[\\x20\\x09-\\x0D]+"
 
 
+#: Rows and bytes of one Arrow batch, where the session leaves them at Spark's defaults: whole texts are
+#: long, and a batch stands several times in memory, in the executor and in its Python worker.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    for name, ours in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        if spark.conf.get(f"spark.sql.execution.arrow.{name}", None) is None:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", ours)
+
+
 class Scratch:
     """Tables written as Parquet to the folder that all executors share.
 
@@ -23,6 +34,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
+        small_batches(spark)
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             base = "file://" + tempfile.mkdtemp(prefix="aeroquarry-")

@@ -27,6 +27,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._util import small_batches
+
 BLOCK = 2048
 DICT_BYTES = 112_640
 LEVEL = 3
@@ -141,6 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, sam
 
 def score_column(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``__score``; other columns pass through untouched."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index("text")
     schema = docs.select("*").schema.add("__score", "double")
 
