@@ -82,6 +82,22 @@ def test_classifier_edge_cases(spark):
     assert len(out) == 5 and all(0 <= r["score"] <= 1 for r in out) and len({r["score"] for r in out if r["doc_id"] < 3}) == 1
 
 
+@pytest.mark.parametrize("n", [60, 300, 1500])
+def test_dictionaries_take_all_parts_of_texts(n):
+    rng = random.Random(n)
+    noise = lambda m: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(m))
+    passages = [noise(60) for _ in range(3)]  # one early, one in the middle and one at the end of long texts
+    texts = [noise(300) + passages[0] + noise(1500) + passages[1] + noise(900) + passages[2] for _ in range(n)]
+    got = classifier.dictionary(texts)
+    assert len(got) <= classifier.DICT_BYTES and all(p[8:-8].encode() in got for p in passages)
+
+
+def test_dictionaries_of_few_and_uniform_texts():
+    assert classifier.dictionary(["a b", " ", "c d"]) == b"a bc d" and classifier.dictionary([" "]) == b" " * 64
+    for texts in (["x" * 500_000], ["word " * 30_000], ["\u00e9" * 80_000, "a"], ["y" * 7] * 40_000):
+        assert 0 < len(classifier.dictionary(texts)) <= classifier.DICT_BYTES
+
+
 # --- suffix arrays and substring dedup ---------------------------------------------
 
 
