@@ -30,7 +30,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
@@ -278,12 +278,17 @@ def _linked(pct: int):
     return run
 
 
-def jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
-    """Per document: n_shingles, component_id (least doc_id of its component) and links to other texts."""
+def text_node(text: Column) -> Column:
+    """The hash under which a text is a node."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def classes(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
+    """Per row: doc_id, node of its text, n_shingles, class (one for all nodes of a component) and links to other texts."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_node(F.col("text")).alias("node"), text.alias("text"))
     ids = scratch.save(keyed.mapInArrow(_sizes(k), "doc_id long, node long, n_shingles long"), "ids")
     total = int(ids.agg(F.sum("n_shingles")).first()[0] or 0)
     buckets, groups = max(1, total // BUCKET_GRAMS), max(1, total // GROUP_GRAMS)
@@ -316,8 +321,13 @@ def jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
     found = components(links.where("a <> b"), scratch, "found")
     degree = links.groupBy(F.col("a").alias("n3")).agg(F.sum("links").alias("n_links"))
     of_node = scratch.save(found.join(degree, F.col("node") == F.col("n3"), "left").select(F.col("node").alias("n4"), "label", "n_links"), "of_node")
-    classed = ids.join(of_node, F.col("node") == F.col("n4"), "left").select("doc_id", "n_shingles", F.coalesce("label", "node").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    classed = scratch.save(classed, "classed")
+    classed = ids.join(of_node, F.col("node") == F.col("n4"), "left").select("doc_id", "node", "n_shingles", F.coalesce("label", "node").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return scratch.save(classed, "classed")
+
+
+def jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
+    """Per document: n_shingles, component_id (least doc_id of its component) and links to other texts."""
+    classed = classes(docs, k, pct).drop("node")
     least = classed.where("n_shingles > 0").groupBy(F.col("class").alias("c2")).agg(F.min("doc_id").alias("least"))
     joined = classed.join(least, (F.col("class") == F.col("c2")) & (F.col("n_shingles") > 0), "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "n_links")

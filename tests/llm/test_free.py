@@ -269,6 +269,21 @@ def test_pipeline_stages(spark):
     assert out.n_words.sum() == words
 
 
+def test_near_duplicates_with_null_and_shared_ids(spark):
+    rng = random.Random(5)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(9999)}" for _ in range(100)) for _ in range(5))
+    near = lambda t: t + " more"
+    rows = [(None, a), (None, b), (None, near(b)), (7, c), (7, d), (7, near(c)), (9, near(d)), (3, near(a)), (4, e), (4, e), (None, e), (None, None), (None, None), (8, ""), (7, "x y")]
+    for repeated in (rows, [r for n, r in enumerate(rows) if n != 9]):  # with and without a repeated row elsewhere
+        docs = spark.createDataFrame([(i, t, "x", "s", 0) for i, t in repeated], DOCS).repartition(3)
+        got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+        of = lambda *texts: [r for r in got if r[1] in texts]  # noqa: B023, E731
+        assert of(a, near(a)) == [(3, near(a))] and of(e) == [(4, e)] and of("x y") == [(7, "x y")]
+        assert len(of(b, near(b))) == 1 and of(b, near(b))[0][0] is None
+        assert len(of(c, near(c))) == 1 and of(d, near(d)) == [(7, d)]
+        assert len(of(None, "")) == 3 and len(got) == 9
+
+
 def test_pipeline_of_nothing_and_odd_rows(spark):
     extra = "doc_id long, text string, lang string, source string, n_chars long, score double, node long"
     odd = [(1, None, None, None, None, 1.0, 2), (1, None, None, None, None, 1.0, 2), (2, "", "x", "s", 0, None, None), (3, "w " * 30_000, "x", "s", 60_000, 0.0, 1)]
