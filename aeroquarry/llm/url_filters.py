@@ -8,8 +8,9 @@ above the limit. Only DataFrame functions run.
 
 Defined results: a url that is null or has no ``://`` has an empty host and
 path, matches no rule and is allowed; a host without labelled pages keeps its
-domain's posterior mean with the prior's width; repeated rows are judged one by
-one; an empty table gives an empty result.
+domain's posterior mean (without one its suffix's, then that of all pages) with
+the prior's width; repeated rows are judged one by one; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -58,15 +59,14 @@ def match_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]
     return rule, verdict
 
 
-def reputation(outcomes: DataFrame, default_strength: float = 20.0, z: float = 1.645, two_part_suffixes: Sequence[str] = ("co.uk", "com.au", "co.jp")) -> DataFrame:
-    """From (host, bad) rows: host, n, bad, posterior mean and its lower bound."""
+def reputation(outcomes: DataFrame, default_strength: float = 20.0, z: float = 1.645, two_part_suffixes: Sequence[str] = ("co.uk", "com.au", "co.jp"), others: DataFrame | None = None) -> DataFrame:
+    """From (host, bad) rows: host, n, bad, posterior mean and its lower bound; ``others`` are hosts to judge even without rows."""
     scratch = Scratch(outcomes.sparkSession, "reputation")
     hosts = outcomes.where(F.col("host") != "").groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("k"))
     last = lambda m: F.substring_index("host", ".", -m)
     longer = last(2).isin(*two_part_suffixes) if two_part_suffixes else F.lit(False)
-    hosts = scratch.save(
-        hosts.withColumns({"suffix": F.when(longer, last(2)).otherwise(last(1)), "domain": F.when(longer, last(3)).otherwise(last(2))}), "hosts"
-    )
+    levels = {"suffix": F.when(longer, last(2)).otherwise(last(1)), "domain": F.when(longer, last(3)).otherwise(last(2))}
+    hosts = scratch.save(hosts.withColumns(levels), "hosts")
     domains = scratch.save(hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("dn"), F.sum("k").alias("dk")), "domains")
     suffixes = scratch.save(domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dk").alias("sk")), "suffixes")
     top = suffixes.agg(F.sum("sk"), F.sum("sn")).first()
@@ -81,11 +81,16 @@ def reputation(outcomes: DataFrame, default_strength: float = 20.0, z: float = 1
         return min(max(r["m"] * (1 - r["m"]) / between - 1, 2.0), 1e4) if between > 0 else 1e4
 
     s, d, h = strength(suffixes, "sk", "sn"), strength(domains, "dk", "dn"), strength(hosts, "k", "n")
+    if others is not None:
+        fresh = others.where(F.col("host") != "").select("host").distinct().join(hosts, "host", "left_anti")
+        hosts = hosts.unionByName(fresh.withColumns({"n": F.lit(0).cast("long"), "k": F.lit(0).cast("long"), **levels}))
     suffixes = suffixes.select("suffix", ((F.col("sk") + s * mean) / (F.col("sn") + s)).alias("suffix_rate"))
     domains = domains.join(suffixes, "suffix").select("suffix", "domain", ((F.col("dk") + d * F.col("suffix_rate")) / (F.col("dn") + d)).alias("domain_rate"))
-    post = (F.col("k") + h * F.col("domain_rate")) / (F.col("n") + h)
+    prior = F.coalesce("domain_rate", "suffix_rate", F.lit(mean))  # of the lowest level with labelled pages
+    post = (F.col("k") + h * prior) / (F.col("n") + h)
     return (
-        hosts.join(domains, ["suffix", "domain"])
+        hosts.join(domains, ["suffix", "domain"], "left")
+        .join(suffixes, "suffix", "left")
         .select("host", "n", F.col("k").alias("bad"), post.alias("rate"))
         .withColumn("lower", F.col("rate") - z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + h + 1)))
     )
@@ -94,7 +99,7 @@ def reputation(outcomes: DataFrame, default_strength: float = 20.0, z: float = 1
 def url_filter(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]], max_bad: float = 0.5) -> DataFrame:
     """Pages (page_id, url) with host, path, rule and verdict. ``outcomes``: (host, bad) of labelled pages."""
     parts = with_parts(pages)
-    blocked = reputation(outcomes).where(F.col("lower") > max_bad).select(F.col("host").alias("__blocked"))
+    blocked = reputation(outcomes, others=parts).where(F.col("lower") > max_bad).select(F.col("host").alias("__blocked"))
     rule, verdict = match_rule(F.col("host"), F.col("path"), rules)
     joined = parts.join(blocked, F.col("host") == F.col("__blocked"), "left")
     own = F.when(F.col("__blocked").isNotNull(), "block").otherwise("allow")

@@ -86,6 +86,17 @@ def test_bad_hosts_are_blocked(spark):
     assert 0 < rep["few.example.org"]["rate"] < 1
 
 
+def test_hosts_without_labels_follow_their_domain(spark):
+    rows = [(f"s{i}.bad.com", True) for i in range(30) for _ in range(20)] + [(f"s{i}.good{i % 5}.com", i == 0) for i in range(30) for _ in range(20)]
+    rows += [(f"s{i}.d{i % 6}.spam", True) for i in range(30) for _ in range(20)] + [(f"s{i}.e{i % 6}.org", False) for i in range(30) for _ in range(20)]
+    want = {"new.bad.com": "block", "new.good1.com": "allow", "new.fresh.spam": "block", "new.fresh.org": "allow", "new.fresh.none": "allow", "s1.bad.com": "block", "s1.good1.com": "allow"}
+    pages = spark.createDataFrame([(i, f"http://{h}/p") for i, h in enumerate(want)], "page_id long, url string")
+    outcomes = spark.createDataFrame(rows, "host string, bad boolean")
+    assert {r["host"]: r["verdict"] for r in url_filters.url_filter(pages, outcomes, ()).collect()} == want
+    rep = {r["host"]: r for r in url_filters.reputation(outcomes, others=spark.createDataFrame([(h,) for h in want], "host string")).collect()}
+    assert rep["new.bad.com"]["n"] == 0 and rep["s1.bad.com"]["n"] == 20 and rep["new.fresh.none"]["rate"] == pytest.approx(sum(b for _, b in rows) / len(rows))
+
+
 def brute_targets(sizes, weights=(3, 1, 2)):
     names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
     w = {s: weights[i % 3] for i, s in enumerate(names)}
