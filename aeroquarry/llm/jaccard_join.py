@@ -207,6 +207,8 @@ def _keys(pct: int, edge: int):
                         a, b = np.minimum(first[i], first[j]), np.maximum(first[i], first[j])
                     else:
                         a = b = first
+                    if least_overlap(n, pct) >= 2 > least_overlap(least_overlap(n, pct), pct):  # its least partner has singles only
+                        a, b = np.append(a, rare[:single]), np.append(b, rare[:single])
                     keys.append(shingles.mix(a * shingles.PLACE_CODES[40] + b * shingles.PLACE_CODES[41]))
                     nodes.append(np.full(len(a), node, np.int64))
                 if n >= least_overlap(edge + 1, pct):

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -226,6 +227,24 @@ def test_join_against_brute_force(spark, monkeypatch, k, pct):
     assert sorted(tuple(r) for r in out) == brute_join(list(enumerate(texts)), k, pct)
 
 
+@pytest.mark.parametrize("pct", [25, 34, 50, 51, 60, 85])
+def test_linked_sets_share_a_key_at_any_boundary(pct):
+    for edge in (0, 1, 4, 5, 8, 64):
+        for n in range(1, 25):
+            for m in range(1, n + 1):
+                both = -(-pct * (n + m) // (100 + pct))  # the least intersection that links
+                if both > m:
+                    continue
+                rows = []
+                for node, size in ((1, n), (2, m)):  # what they share comes last in both orders
+                    grams = np.array([1000 * node + i for i in range(size - both)] + [5000 + i for i in range(both)], np.int64)
+                    share = min(2, jaccard_join.least_overlap(size, pct))
+                    single, pair = jaccard_join.prefix(size, pct), jaccard_join.prefix(size, pct, share)
+                    rows.append((node, size, single, pair, grams[: max(single, pair)]))
+                out = next(jaccard_join._keys(pct, edge)([pd.DataFrame(rows, columns=["node", "n", "single", "pair", "rare"])]))
+                assert set(out.key[out.node == 1]) & set(out.key[out.node == 2]), (edge, n, m)
+
+
 def test_join_of_nothing_and_of_repeats(spark):
     assert jaccard_join.jaccard_join(spark.createDataFrame(EMPTY, DOCS)).count() == 0
     rows = [(4, "a b c d e", "x", "s", 0)] * 3 + [(7, "a b c d e", "x", "s", 0), (9, None, "x", "s", 0), (8, None, "x", "s", 0)]
