@@ -7,7 +7,7 @@ leader (ties: the earlier one).
 
 Seeds are what a sphere can hold at the radius, whatever the number of rows:
 at most about 40 / chord**2. The scan over them is sequential by definition and
-runs in one task while that bound is below ``MAX_SCAN``; beyond, the same leaders
+runs in one task while there are ``MAX_SCAN`` or fewer; beyond, the same leaders
 come from rounds of joins in which a seed is settled once all earlier
 neighbours are. Rows meet leaders by an equi-join on voxels.
 """
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from ..functions.frame import LATITUDE, LONGITUDE, POS
 from ..functions.grid import EARTH_RADIUS_KM, chord, unit_xyz
+from ..functions.scratch import stored
 
-MAX_SCAN = 2_000_000
+MAX_SCAN = 50_000
 SEEDS = "_pos long, x double, y double, z double"
 
 
@@ -62,14 +63,15 @@ def _leaders_by_rounds(seeds: DataFrame, c: float) -> DataFrame:
         spread = spread.withColumn(v, _spread(step, v))
     b = cells.select(F.col(POS).alias("q"), *(F.col(n).alias(f"{n}2") for n in ("x", "y", "z")), "vx", "vy", "vz")
     apart = sum(F.pow(F.col(n) - F.col(f"{n}2"), 2) for n in ("x", "y", "z"))
-    earlier = spread.join(b, ["vx", "vy", "vz"]).where((F.col("q") < F.col(POS)) & (apart <= c * c)).select(POS, "q").checkpoint()
-    state = seeds.select(POS, F.lit(None).cast("boolean").alias("leads")).checkpoint()
+    earlier = spread.join(b, ["vx", "vy", "vz"]).where((F.col("q") < F.col(POS)) & (apart <= c * c)).select(POS, "q")
+    earlier = stored(earlier, "earlier")
+    state = stored(seeds.select(POS, F.lit(None).cast("boolean").alias("leads")), "leads")
     while state.where("leads IS NULL").limit(1).count():
         seen = earlier.join(state.select(F.col(POS).alias("q"), F.col("leads").alias("ql")), "q").groupBy(POS).agg(
             F.max(F.coalesce("ql", F.lit(False))).alias("blocked"), F.max(F.col("ql").isNull()).alias("waiting")
         )
         now = F.when(F.coalesce("blocked", F.lit(False)), False).when(F.coalesce("waiting", F.lit(False)), F.lit(None)).otherwise(True)
-        state = state.join(seen, POS, "left").select(POS, F.coalesce("leads", now).alias("leads")).checkpoint()
+        state = stored(state.join(seen, POS, "left").select(POS, F.coalesce("leads", now).alias("leads")), "leads")
     return seeds.join(state.where("leads").select(POS), POS)
 
 
@@ -77,14 +79,17 @@ def with_cluster(df: DataFrame, distance_km: float) -> DataFrame:
     """Adds ``_leader``, the ``_pos`` of each row's leader. Rows must be located."""
     x, y, z = unit_xyz(F.col(LATITUDE), F.col(LONGITUDE))
     if distance_km >= math.pi * EARTH_RADIUS_KM:
-        only = df.agg(F.min(POS)).scalar()
-        return df.withColumn("_leader", only)
+        return df.withColumn("_leader", df.agg(F.min(POS)).scalar())
     c = chord(distance_km)
     rows = df.withColumns({"_x": x, "_y": y, "_z": z})
     points = rows.select(F.col(POS).cast("long").alias(POS), F.col("_x").alias("x"), F.col("_y").alias("y"), F.col("_z").alias("z"))
     first = points.groupBy(*_voxel(c / math.sqrt(3.0), "x", "y", "z")).agg(F.min_by(F.struct(POS, "x", "y", "z"), POS).alias("s"))
     seeds = first.select("s.*")
-    if 40.0 / (c * c) <= MAX_SCAN:
+    few = 40.0 / (c * c) <= MAX_SCAN
+    if not few:
+        seeds = stored(seeds, "seeds")
+        few = seeds.count() <= MAX_SCAN
+    if few:
         leaders = seeds.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(lambda pdf: greedy_leaders(pdf, c)[[POS, "x", "y", "z"]], SEEDS)
     else:
         leaders = _leaders_by_rounds(seeds, c)

@@ -3,7 +3,8 @@
 Floats and times are averaged (mean or median), longitudes around the circle;
 whole numbers, booleans and strings take the first member's value. All steps
 are hash aggregates, whose map-side part absorbs crowded cells; the circular
-reference of each cell joins back by cell.
+reference of each cell joins back by cell. Clustered rows and the reduced cells
+are stored once where they are read again, so a table is scanned twice at most.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.frame import LATITUDE, LONGITUDE, POS, Leaf, facts, finite, leaves, located, nest
 from ..functions.grid import reduced_cell, resolution
+from ..functions.scratch import stored
 from ..plans.registry import AndFilter, register_filter
 from .clustering import with_cluster
 from .temporal import time_lit
@@ -61,6 +63,8 @@ class Superobbing(AndFilter):
         else:
             rows = with_cluster(rows, size).withColumns({"_k1": F.col("_leader"), "_k2": F.lit(0)})
         flat = rows.select(POS, "_k1", "_k2", *(F.col(v.path).alias(v.flat) for v in variables))
+        if kind != "grid":
+            flat = stored(flat, "clustered")
         lons = [v for v in variables if v.name == "longitude" and isinstance(v.field.dataType, FLOATS)] if method != "first" else []
         if lons:
             flat = self._unwrapped(flat, lons)
@@ -69,12 +73,21 @@ class Superobbing(AndFilter):
         aggs += [self._agg(v, method, v in lons).alias(v.flat) for v in variables if v not in arrays]
         aggs += [F.min(f"`{v.flat}`").alias(f"_low_{v.flat}") for v in lons]
         out = flat.groupBy("_k1", "_k2").agg(*aggs).where(F.col("_n") >= least)
-        for v in lons:
-            out = self._rewrapped(out, v)
+        time = next((v for v in variables if v.path == "MetaData.dateTime"), None) if known.get("sorted") else None
+        if lons or time:
+            out = stored(out, "superobs")  # a row for each cell
+            flags = [F.min(f"`_low_{v.flat}`") for v in lons] + ([F.max(F.col(f"`{time.flat}`").isNull())] if time else [])
+            said = list(out.agg(*flags).first())
+            for v, low in zip(lons, said, strict=False):
+                out = self._rewrapped(out, v, low is None or low >= 0)
         for v in arrays:
             out = out.join(self._by_channel(flat, v, method), ["_k1", "_k2"], "left")
-        out = out.withColumn(POS, self._order(out, variables, known))
-        return nest(out, variables, known)
+        # Earliest member first; tables in time order are put back into it, unless a time is missing.
+        first = F.col("_first")
+        if time:
+            at = F.col(f"`{time.flat}`")
+            first = F.struct((F.lit(None).cast(time.field.dataType) if said[-1] else at).alias("time"), first.alias("first"))
+        return nest(out.withColumn(POS, first), variables, known)
 
     @staticmethod
     def _agg(v: Leaf, method: str, is_lon: bool) -> Column:
@@ -107,16 +120,16 @@ class Superobbing(AndFilter):
         return joined
 
     @staticmethod
-    def _rewrapped(out: DataFrame, v: Leaf) -> DataFrame:
+    def _rewrapped(out: DataFrame, v: Leaf, positive: bool) -> DataFrame:
         """Back to [0, 360) if no longitude of the kept rows is negative, else to [-180, 180)."""
-        low = out.agg(F.min(F.col(f"`_low_{v.flat}`"))).scalar()
-        positive = F.coalesce(low >= 0, F.lit(True))
         lon, kind = F.col(f"`{v.flat}`"), v.field.dataType
-        full = F.pmod(lon, F.lit(360.0)).cast(kind)
-        half = (F.pmod(lon + 180.0, F.lit(360.0)) - 180.0).cast(kind)
-        full = F.when(full >= 360.0, F.lit(0.0).cast(kind)).otherwise(full)  # rounding in the narrower type
-        half = F.when(half >= 180.0, F.lit(-180.0).cast(kind)).otherwise(half)
-        return out.withColumn(v.flat, F.coalesce(F.when(positive, full).otherwise(half), F.lit(float("nan")).cast(kind)))
+        if positive:
+            turned = F.pmod(lon, F.lit(360.0)).cast(kind)
+            turned = F.when(turned >= 360.0, F.lit(0.0).cast(kind)).otherwise(turned)  # rounding in the narrower type
+        else:
+            turned = (F.pmod(lon + 180.0, F.lit(360.0)) - 180.0).cast(kind)
+            turned = F.when(turned >= 180.0, F.lit(-180.0).cast(kind)).otherwise(turned)
+        return out.withColumn(v.flat, F.coalesce(turned, F.lit(float("nan")).cast(kind)))
 
     @staticmethod
     def _by_channel(flat: DataFrame, v: Leaf, method: str) -> DataFrame:
@@ -126,13 +139,3 @@ class Superobbing(AndFilter):
         each = long.groupBy("_k1", "_k2", "_c").agg(F.coalesce(_reduced(F.col("_v"), method), F.lit(float("nan"))).cast(inner).alias("_v"))
         gathered = F.sort_array(F.collect_list(F.struct("_c", "_v")))
         return each.groupBy("_k1", "_k2").agg(F.transform(gathered, lambda s: s["_v"]).alias(v.flat))
-
-    @staticmethod
-    def _order(out: DataFrame, variables: list[Leaf], known: dict) -> Column:
-        """Earliest member first; tables in time order are put back into it, unless a time is missing."""
-        time = next((v for v in variables if v.path == "MetaData.dateTime"), None)
-        if not known.get("sorted") or time is None:
-            return F.col("_first")
-        at = F.col(f"`{time.flat}`")
-        missing = out.agg(F.coalesce(F.max(at.isNull()), F.lit(False))).scalar()
-        return F.struct(F.when(~missing, at).alias("time"), F.col("_first").alias("first"))

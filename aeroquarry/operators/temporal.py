@@ -65,7 +65,7 @@ class Periodic(AndFilter):
     """Closed windows of a length, one every period from the first row's time up to the last row's.
 
     Closed form of the windows' union; the two anchors come from one small
-    aggregate, read as scalar subqueries.
+    aggregate, run when the filter is applied, so the condition is plain numbers.
     """
 
     def checked(self, arg):
@@ -78,13 +78,14 @@ class Periodic(AndFilter):
 
     def apply(self, df: DataFrame) -> DataFrame:
         period, window = self.arg
-        micros = lambda c: F.timestamp_diff("MICROSECOND", time_lit(dt.datetime(2020, 1, 1)), c)
-        first = df.agg(F.min_by(F.struct(F.col(TIME).alias("t")), POS)["t"]).scalar()
-        last = df.agg(F.max_by(F.struct(F.col(TIME).alias("t")), POS)["t"]).scalar()
-        t, t0, tl = micros(F.col(TIME)), micros(first), micros(last)
-        k, off = F.floor((t - t0) / period), F.pmod(t - t0, F.lit(period))
-        most = F.floor((tl - t0) / period)
+        edge = lambda pick: pick(F.struct(F.col(TIME).alias("t")), POS)["t"].cast("timestamp_ntz")
+        first, last = df.agg(edge(F.min_by), edge(F.max_by)).first()
+        if first is None or last is None or last < first:
+            return df.where(F.lit(False))
+        t = F.timestamp_diff("MICROSECOND", time_lit(first), F.col(TIME))
+        most = (last - first) // dt.timedelta(microseconds=period)
+        k, off = F.floor(t / period), F.pmod(t, F.lit(period))
         inside = (k <= most) & (off <= window)
         if window == period:  # a window's end is the next one's start, also past the last start
             inside = inside | ((off == 0) & (k - 1 <= most))
-        return df.where((tl >= t0) & (t >= t0) & inside)
+        return df.where((F.col(TIME) >= time_lit(first)) & inside)

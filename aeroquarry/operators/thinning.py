@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.frame import LATITUDE, LONGITUDE, POS, facts, located
 from ..functions.grid import reduced_cell, resolution, unit_xyz
+from ..functions.scratch import stored
 from ..plans.registry import AndFilter, register_filter
 from .clustering import with_cluster
 
@@ -88,6 +89,8 @@ class Thinning(AndFilter):
             won = rows.withColumn("_rn", F.row_number().over(Window.partitionBy("_k1", "_k2").orderBy(*key))).where("_rn = 1")
         else:
             rows = with_cluster(rows, size)
+            if strategy != "first":
+                rows = stored(rows, "clustered")  # read twice
             if strategy == "center":
                 x, y, z = unit_xyz(F.col(LATITUDE), F.col(LONGITUDE))
                 rows = rows.withColumns({"_x": x, "_y": y, "_z": z})

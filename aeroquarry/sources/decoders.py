@@ -8,7 +8,9 @@ message types can be read from a file.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,33 +78,84 @@ def normalised(df: DataFrame) -> DataFrame:
     return df.withColumn("MetaData", F.struct(*inner))
 
 
-def store(lake: Lake, df: DataFrame, data_type: str, is_sorted: bool = True, channels: list[int] | None = None) -> list[str]:
-    """Put decoded rows; a ``category`` column splits them into types of their own. Empty parts are skipped."""
+def store(lake: Lake, df: DataFrame, data_type: str, is_sorted: bool = True, channels: list[int] | None = None, once: tuple[str, int] | None = None) -> list[str]:
+    """Put decoded rows; a ``category`` column splits them into types of their own. Empty parts are skipped.
+
+    Decoding may be costly, so decoded rows with categories are written once and each part is read from there.
+    """
     df = normalised(df)
     if "category" not in df.columns:
-        parts: Iterator = iter([(None, df)])
-    else:
-        kinds = [r[0] for r in df.select("category").distinct().collect()]  # satellites of a file: a handful
-        parts = ((k, df.where(F.col("category").eqNullSafe(k)).drop("category")) for k in sorted(kinds, key=str))
+        if not df.limit(1).count():
+            return []
+        lake.put(df, data_type, None, is_sorted=is_sorted, channels=channels, once=once)
+        return [lake.key(data_type)]
+    staged = f"{lake.base}/_staged/{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    rows = lake.spark.read.schema(df.schema).parquet(staged)
     done = []
-    for kind, part in parts:
-        if part.limit(1).count():
-            lake.put(part, data_type, kind, is_sorted=is_sorted, channels=channels)
-            done.append(lake.key(data_type, kind))
+    for kind in sorted((r[0] for r in rows.select("category").distinct().collect()), key=str):  # satellites of a file: a handful
+        lake.put(rows.where(F.col("category").eqNullSafe(kind)).drop("category"), data_type, kind, is_sorted=is_sorted, channels=channels, once=once)
+        done.append(lake.key(data_type, kind))
+    lake.delete(staged)
     return done
 
 
-def ingest(lake: Lake, ident: str, paths: Sequence[str]) -> list[str]:
+def ingest(lake: Lake, ident: str, paths: Sequence[str], once: tuple[str, int] | None = None) -> list[str]:
     """Decode files as one distributed job and store them."""
     found = source(ident)
-    return store(lake, found.decode(lake.spark, paths), found.data_type, found.is_sorted)
+    return store(lake, found.decode(lake.spark, paths), found.data_type, found.is_sorted, once=once)
+
+
+def rows_decoder(schema: T.StructType, names: dict[str, str] | None = None) -> Decoder:
+    """A decoder of rows that some other program has decoded (JSON lines, CSV or Parquet, by suffix), mapped onto a schema of groups.
+
+    ``names`` gives the source's name of a variable where it differs. Variables that a file lacks are null; further
+    ones are left out; times are read as ISO 8601.
+    """
+    names = names or {}
+
+    def decode(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+        parts = []
+        for kind in ("json", "csv", "parquet"):
+            if own := [p for p in paths if p.rsplit(".", 1)[-1].lower() in (kind, {"json": "jsonl"}.get(kind))]:
+                parts.append(spark.read.options(header=True).format(kind).load(own))
+        if unknown := [p for p in paths if p.rsplit(".", 1)[-1].lower() not in ("json", "jsonl", "csv", "parquet")]:
+            raise ValueError(f"not a file of decoded rows: {unknown}")
+        mapped = [_mapped(part, schema, names) for part in parts]
+        return reduce(DataFrame.unionByName, mapped)
+
+    return decode
+
+
+def _mapped(df: DataFrame, schema: T.StructType, names: dict[str, str]) -> DataFrame:
+    def value(field: T.StructField):
+        given = names.get(field.name, field.name)
+        if field.name == "dateTime" and given not in df.columns:
+            given = next((n for n in ("datetime", "time") if n in df.columns), given)
+        return (F.col(given) if given in df.columns else F.lit(None)).cast(field.dataType).alias(field.name)
+
+    groups = [F.struct(*(value(f) for f in group.dataType.fields)).alias(group.name) for group in schema.fields]
+    return df.select(*groups, *(["category"] if "category" in df.columns else []))
+
+
+register_decoder("rows/synop", "synop", is_sorted=False)(rows_decoder(SYNOP))
+register_decoder("rows/temp", "temp", is_sorted=False)(rows_decoder(TEMP))
 
 
 def message_types(path: str) -> list[dict]:
-    """Rows (category, subtype, name, restricted) of a message catalogue kept in a YAML file."""
+    """Rows (category, name, subtype, dataset, format, restricted) of a message catalogue kept in a YAML file.
+
+    The file is keyed by category; each has a name and its ``local subtypes``, keyed by number. A plain list of rows
+    is taken as it is.
+    """
     import yaml
 
     with open(path) as f:
         loaded = yaml.safe_load(f)
-    rows = loaded if isinstance(loaded, list) else next(v for v in loaded.values() if isinstance(v, list))
-    return [dict(r) for r in rows]
+    if isinstance(loaded, list):
+        return [dict(r) for r in loaded]
+    rows = []
+    for category, entry in sorted((loaded or {}).items()):
+        for subtype, row in sorted((entry.get("local subtypes") or {}).items()):
+            rows.append({"category": int(category), "name": entry.get("category"), "subtype": int(subtype), "dataset": row.get("dataset"), "format": row.get("format"), "restricted": bool(row.get("restricted", False))})
+    return rows

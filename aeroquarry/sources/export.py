@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.frame import POS, facts, leaves
+from ..operators.thinning import with_ordinal
 
 GROUP_ORDER = ("MetaData", "ObsValue", "ObsError", "QualityMarker", "PreQC")
 TIME_FILL = 2**63 - 1
@@ -14,7 +15,7 @@ TIME_FILL = 2**63 - 1
 
 def formatted(df: DataFrame) -> DataFrame:
     """Rows numbered from 0 in row order, times as whole seconds since 1970 (missing: the largest long)."""
-    have = leaves(df)
+    have, known = leaves(df), facts(df)
     groups: dict[str | None, list] = {}
     for v in have:
         groups.setdefault(v.group, []).append(v)
@@ -26,13 +27,15 @@ def formatted(df: DataFrame) -> DataFrame:
             col = F.coalesce(F.floor(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(v.field.dataType), col) / 1_000_000), F.lit(TIME_FILL)).cast("long")
         return col.alias(v.name, metadata=v.field.metadata or {})
 
-    number = (F.row_number().over(Window.orderBy(POS)) - 1).cast("int")
-    out = [number.alias("Location")] + [F.struct(*(value(v) for v in groups[g])).alias(g) for g in ordered]
+    # Numbered within blocks of positions, so no task orders all rows; a re-sorted table's few rows are ordered at once.
+    plain = isinstance(df.schema[POS].dataType, T.LongType)
+    df = with_ordinal(df, "_number") if plain else df.withColumn("_number", F.row_number().over(Window.orderBy(POS)) - 1)
+    out = [F.col("_number").cast("int").alias("Location")] + [F.struct(*(value(v) for v in groups[g])).alias(g) for g in ordered]
     arrays = [v for v in have if isinstance(v.field.dataType, T.ArrayType)]
     if arrays:
-        known = facts(df).get("channels")
+        channels = known.get("channels")
         width = F.size(F.col(arrays[0].path))
-        channel = F.array(*(F.lit(int(c)) for c in known)) if known else F.when(width > 0, F.sequence(F.lit(1), width)).otherwise(F.array().cast("array<int>"))
+        channel = F.array(*(F.lit(int(c)) for c in channels)) if channels else F.when(width > 0, F.sequence(F.lit(1), width)).otherwise(F.array().cast("array<int>"))
         out.append(channel.cast("array<int>").alias("Channel"))
     return df.select(*out)
 
@@ -45,5 +48,5 @@ def export_window(df: DataFrame, path: str, clobber: bool = False) -> bool:
         raise FileExistsError(path)
     if not df.limit(1).count():
         return False
-    formatted(df).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    formatted(df).orderBy("Location").write.mode("overwrite").option("compression", "zstd").parquet(path)
     return True

@@ -58,25 +58,59 @@ def download(url: str, name: str, folder: str) -> str:
     return target
 
 
-def listen(spark: SparkSession, lake: Lake, landing: str, folder: str, checkpoint: str, topic: str = "", fetch: Callable[[str, str, str], str] = download, seconds: int | None = None):
-    """Start the stream; each micro-batch downloads its files (a few messages), decodes and stores them by id."""
-
-    def handle(batch: DataFrame, _: int) -> None:
-        by_ident: dict[str, list[str]] = {}
-        for row in parsed(batch, topic).where("file_url IS NOT NULL AND file_name IS NOT NULL").toLocalIterator():
-            path = fetch(row["file_url"], row["file_name"], os.path.join(folder, row["ident"]))
-            if path:
-                by_ident.setdefault(f"wis2/{row['ident']}", []).append(path)
-        for ident, paths in by_ident.items():
+WANTED = "ident string, file_url string, file_name string, tries int"
+
+
+def _fetched(fetch: Callable[[str, str, str], str], folder: str):
+    """Downloads in tasks: each row gets the path of its file, "" where the download failed."""
+
+    def run(frames):
+        for pdf in frames:
+            pdf["path"] = [fetch(u, n, os.path.join(folder, i)) for u, n, i in zip(pdf["file_url"], pdf["file_name"], pdf["ident"], strict=True)]
+            yield pdf
+
+    return run
+
+
+def listen(spark: SparkSession, lake: Lake, landing: str, folder: str, checkpoint: str, topic: str = "", fetch: Callable[[str, str, str], str] = download, seconds: int | None = None, tries: int = 5, tasks: int = 8):
+    """Start the stream; each micro-batch downloads its files in tasks, decodes and stores them by id.
+
+    ``folder`` is one that all executors share. What can't be downloaded is kept in a retry table beside the
+    checkpoint and tried again with the next batches, ``tries`` times in all; then it stays in the table ``failed``.
+    A batch that is replayed after a crash is not stored twice: the lake remembers the stream's last batch.
+    """
+
+    def queue(number: int) -> str:
+        return f"{checkpoint}/retry/{number}"
+
+    def handle(batch: DataFrame, number: int) -> None:
+        fresh = parsed(batch, topic).where("file_url IS NOT NULL AND file_name IS NOT NULL").select("ident", "file_url", "file_name", F.lit(0).alias("tries"))
+        waiting = spark.read.schema(WANTED).parquet(queue(number - 1)) if number and _exists(spark, queue(number - 1)) else spark.createDataFrame([], WANTED)
+        rows = fresh.unionByName(waiting).distinct().repartition(tasks, "file_url")
+        got = rows.mapInPandas(_fetched(fetch, folder), WANTED + ", path string")
+        done = f"{checkpoint}/fetched/{number}"
+        got.write.mode("overwrite").parquet(done)  # downloads happen once; paths and failures are read from here
+        got = spark.read.schema(WANTED + ", path string").parquet(done)
+        lost = got.where("path = ''").select("ident", "file_url", "file_name", (F.col("tries") + 1).alias("tries"))
+        lost.where(F.col("tries") < tries).write.mode("overwrite").parquet(queue(number))
+        lost.where(F.col("tries") >= tries).write.mode("overwrite").parquet(f"{checkpoint}/failed/{number}")
+        for (ident,) in got.where("path <> ''").select("ident").distinct().toLocalIterator():  # kinds of bulletins: a handful
+            paths = [r[0] for r in got.where((F.col("ident") == ident) & (F.col("path") != "")).select("path").distinct().collect()]  # files of one batch
             try:
-                decoders.ingest(lake, ident, paths)
+                decoders.ingest(lake, f"wis2/{ident}", paths, once=(f"{checkpoint}#{ident}", number))
             except LookupError:
                 continue  # no decoder: the files stay for a later one
             for p in paths:
-                os.remove(p)
+                if os.path.exists(p):
+                    os.remove(p)
 
     stream = spark.readStream.schema(LANDING).json(landing).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).start()
     if seconds is not None:
         stream.awaitTermination(seconds)
         stream.stop()
     return stream
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

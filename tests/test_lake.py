@@ -4,6 +4,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aeroquarry import cli, config
 from aeroquarry.functions.frame import POS, facts
@@ -19,6 +20,15 @@ def rows(frame, n=4, first=0, **more):
     return frame([(first + i * 36_000, float(i), float(10 * i), float(i)) for i in range(n)], **more)
 
 
+def pruned_by(spark, df):
+    """Partition filters of a plan's only scan."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert plan.count("PartitionFilters: [") == 1
+    return plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+
+
 def test_create_append_and_get(spark, frame, tmp_path):
     lake = Lake(spark, f"file://{tmp_path}/lake")
     assert lake.list_data_types() == [] and lake.manifest("a") is None
@@ -30,11 +40,30 @@ def test_create_append_and_get(spark, frame, tmp_path):
     assert [r["Location"] for r in df.orderBy(POS).collect()] == [0, 1, 2, 3, 0, 1]
     got = get(spark, lake, "a", "2021-08-01T00:00:00", END, [{"bounding_box": {"min_lat": 1, "max_lat": 2, "min_lon": 0, "max_lon": 90}}])
     assert sorted(r["ObsValue"]["value"] for r in got.collect()) == [1.0, 1.0, 2.0]
-    assert "PartitionFilters: [(" in got._jdf.queryExecution().executedPlan().toString()
+    assert "_date#" in pruned_by(spark, got) and "_batch#" in pruned_by(spark, got)
     with pytest.raises(ValueError):
         lake.read("c")
 
 
+def test_layouts_are_read_by_path(spark, frame, tmp_path):
+    for layout in ("none", "year", "month", "day"):
+        base = f"file://{tmp_path}/{layout}"
+        Lake(spark, base, layout).put(rows(frame), "a")
+        Lake(spark, base, "month").put(rows(frame, 2, 1), "a")  # a table may change its layout
+        assert get(spark, base, "a", "2021-08-01T00:00:00", END).count() == 3, layout
+        assert get(spark, base, "a", "2021-01-01T00:00:00", "2021-08-01T00:00:00").count() == 2, layout
+        assert "_date#" in pruned_by(spark, get(spark, base, "a", START, END))
+
+
+def test_replayed_batches_are_stored_once(spark, frame, tmp_path):
+    lake = Lake(spark, f"file://{tmp_path}/lake")
+    for number in (0, 1, 1, 0):
+        lake.put(rows(frame), "a", once=("stream", number))
+    lake.put(rows(frame), "a", once=("other", 0))
+    assert lake.read("a").count() == 12 and lake.manifest("a")["writers"] == {"stream": 1, "other": 0}
+    assert sorted(r[POS] for r in lake.read("a").collect())[0] == 0 and lake.read("a").select(POS).distinct().count() == 12
+
+
 def test_snapshots_do_not_change(spark, frame, tmp_path):
     lake = Lake(spark, f"file://{tmp_path}/lake", "none")
     lake.put(rows(frame), "a")
@@ -113,23 +142,72 @@ def test_notifications(spark, frame, tmp_path):
     (landing / "1.json").write_text("".join(json.dumps({"topic": "a/b/land/temp9", "payload": p}) + "\n" for p in payloads) + json.dumps({"topic": "z/b", "payload": payloads[0]}) + "\n")
     got = notify.parsed(spark.read.schema(notify.LANDING).json(str(landing)), "a/b/#").collect()
     assert [(r["ident"], r["file_url"], r["file_name"]) for r in got] == [("land/temp9", "https://h/a/b.bufr?x=1", "b.bufr"), ("land/temp9", "https://o/c", "c.bufr"), ("land/temp9", "https://h/u", "u")]
-    lake, fetched = Lake(spark, f"file://{tmp_path}/lake"), []
+    lake, log = Lake(spark, f"file://{tmp_path}/lake"), str(tmp_path / "log")
     decoders.register_decoder("wis2/land/temp9", "temp9")(lambda session, paths: rows(frame, len(paths)))
 
     def fetch(url, name, folder):
+        with open(log, "a+") as f:
+            f.seek(0)
+            seen = f.read().count(url + "\n")
+            f.write(url + "\n")
+        if url == "https://h/u" and not seen or name == "never":
+            return ""  # the first try of one file fails, and every try of another
         os.makedirs(folder, exist_ok=True)
         path = os.path.join(folder, name)
         open(path, "w").close()
-        fetched.append(path)
         return path
 
-    stream = notify.listen(spark, lake, str(landing), str(tmp_path / "files"), str(tmp_path / "check"), "a/b/#", fetch)
-    stream.processAllAvailable()
-    stream.stop()
-    assert lake.read("temp9").count() == 3 and len(fetched) == 3 and not any(map(os.path.exists, fetched))
+    def run():
+        stream = notify.listen(spark, lake, str(landing), str(tmp_path / "files"), str(tmp_path / "check"), "a/b/#", fetch, tries=2)
+        stream.processAllAvailable()
+        stream.stop()
+
+    run()
+    assert lake.read("temp9").count() == 2
+    (landing / "2.json").write_text(json.dumps({"topic": "a/b/land/temp9", "payload": json.dumps({"url": "https://o/n", "filename": "never"})}) + "\n")
+    run()  # what failed is tried again with the next batch
+    assert lake.read("temp9").count() == 3 and not os.listdir(tmp_path / "files/land/temp9")
+    (landing / "3.json").write_text(json.dumps({"topic": "z/b", "payload": "{}"}) + "\n")
+    run()
+    failed = spark.read.parquet(str(tmp_path / "check/failed/2")).collect()
+    assert [(r["file_name"], r["tries"]) for r in failed] == [("never", 2)] and open(log).read().count("https://o/n") == 2
     assert notify.download("file:///nothing/here", "x", str(tmp_path / "d")) == ""
 
 
+def test_message_catalogue(tmp_path):
+    path = tmp_path / "types.yaml"
+    path.write_text("""
+0:
+  category: surface land
+  standard subtypes: {}
+  local subtypes:
+    1: {dataset: land_a, format: FM-12, restricted: false}
+    100: {dataset: land_b, format: BUFR, restricted: true}
+7: {category: empty, standard subtypes: {}, local subtypes: {}}
+21:
+  category: radiances
+  local subtypes:
+    3: {dataset: sounder}
+""")
+    got = decoders.message_types(str(path))
+    assert [(r["category"], r["name"], r["subtype"], r["dataset"], r["format"], r["restricted"]) for r in got] == [
+        (0, "surface land", 1, "land_a", "FM-12", False), (0, "surface land", 100, "land_b", "BUFR", True), (21, "radiances", 3, "sounder", None, False)
+    ]
+
+
+def test_decoded_rows_are_ingested(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"time": "2024-01-01T06:00:00", "latitude": 1.5, "longitude": 2.5, "pressure": 1000, "more": 1, "category": "n"}\n{"time": "2024-01-02T06:00:00", "latitude": 3.5, "longitude": 2.5, "category": "s"}\n')
+    (tmp_path / "b.csv").write_text("datetime,latitude,longitude,height\n2024-01-01T12:00:00,1,2,30\n")
+    lake = Lake(spark, f"file://{tmp_path}/lake")
+    assert decoders.ingest(lake, "rows/synop", [f"file://{tmp_path}/a.jsonl"]) == ["synop_n", "synop_s"]
+    assert decoders.ingest(lake, "rows/temp", [f"file://{tmp_path}/b.csv"]) == ["temp"]
+    row = lake.read("synop_n").collect()[0]
+    assert row["MetaData"]["dateTime"] == dt.datetime(2024, 1, 1, 6) and row["ObsValue"]["pressure"] == 1000 and row["ObsValue"]["temperature"] is None
+    assert lake.read("temp").select("MetaData").schema == T.StructType([T.StructField("MetaData", decoders.TEMP["MetaData"].dataType)])
+    with pytest.raises(ValueError):
+        decoders.ingest(lake, "rows/temp", ["x.bufr"])
+
+
 def test_config(tmp_path):
     path = tmp_path / "c.json"
     path.write_text(json.dumps({"root_dir": str(tmp_path), "data_lake": {"base_dir": "lake"}, "run_for_num_sec": 3}))
