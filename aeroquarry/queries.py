@@ -7,7 +7,7 @@ alike in both engines. Embeddings stand in for per-channel radiances.
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
+import math
 import uuid
 from collections.abc import Callable
 
@@ -15,8 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import regions
-from .functions.frame import POS, with_facts
+from .functions.frame import POS, located, with_facts
+from .functions.grid import KM_PER_DEGREE, chord
 from .functions.polygons import polygons
+from .functions.scratch import shared_folder
+from .operators.clustering import with_cluster
 from .plans import planner
 from .plans.client import get
 from .sources import export
@@ -79,6 +82,10 @@ def _channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("Location", *(F.round(F.get("ObsValue.radiance", F.lit(i)).cast("double"), 5).alias(f"r{c}") for i, c in enumerate((3, 9, 64))))
 
 
+def _distance_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_cluster(located(observations(spark, sf_dir)), 1500.0).select("Location", F.col("_leader").alias("leader"))
+
+
 def _superob_channels(method: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = planner.apply(radiances(spark, sf_dir), *ALWAYS, [{"superobbing": {"grid": 20, "aggregation": method}}])
@@ -88,8 +95,7 @@ def _superob_channels(method: str):
 
 
 def _base(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="aeroquarry-lake-")
-    return f"{shared.rstrip('/')}/lake-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/lake-{uuid.uuid4().hex}"
 
 
 def _filled(spark: SparkSession, sf_dir: str) -> Lake:
@@ -150,6 +156,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "superob_median": superob(aggregation="median"),
         "superob_first": superob(aggregation="first"),
         "superob_min_obs": superob(min_obs=8),
+        "distance_clusters": _distance_clusters,
         "superob_distance": _filtered({"superobbing": {"distance": 2000}}, digits=7),
         "superob_channels": _superob_channels("mean"),
         "superob_channels_median": _superob_channels("median"),
@@ -247,6 +254,33 @@ def _superob_radiance(agg: str) -> str:
     return f'WITH {cells} SELECT min("Location") AS "Location", {each} FROM cells GROUP BY lat_bin, lon_bin'
 
 
+def _clusters(distance_km: float) -> str:
+    """cells: obs with the leader of their cluster, by a plain scan over the seeds in row order."""
+    c = chord(distance_km)
+    width = c / math.sqrt(3.0)
+    voxel = ", ".join(f"floor({n} / {width!r}::DOUBLE)" for n in "xyz")
+    apart = " + ".join(f"pow(l.{n} - s.{n}, 2)" for n in "xyz")
+    dot = " + ".join(f"xyz.{n} * leaders.l.{n}" for n in "xyz")
+    return f"""{OBS}, xyz AS (
+  SELECT *, cos(radians(latitude)) * cos(radians(longitude)) AS x, cos(radians(latitude)) * sin(radians(longitude)) AS y, sin(radians(latitude)) AS z FROM obs
+), seeds AS (
+  SELECT *, row_number() OVER (ORDER BY "Location") AS i FROM (SELECT "Location", x, y, z FROM xyz QUALIFY row_number() OVER (PARTITION BY {voxel} ORDER BY "Location") = 1)
+), scan(i, ls) AS (
+  SELECT 0::BIGINT, []::STRUCT(p BIGINT, x DOUBLE, y DOUBLE, z DOUBLE)[]
+  UNION ALL
+  SELECT s.i, CASE WHEN len(list_filter(ls, lambda l: {apart} <= {c * c!r}::DOUBLE)) > 0 THEN ls ELSE list_append(ls, {{'p': s."Location", 'x': s.x, 'y': s.y, 'z': s.z}}) END
+  FROM scan JOIN seeds s ON s.i = scan.i + 1
+), leaders AS (SELECT unnest(ls) AS l FROM (SELECT ls FROM scan ORDER BY i DESC LIMIT 1)
+), cells AS (
+  SELECT xyz.*, leaders.l.p AS lat_bin, 0 AS lon_bin FROM xyz, leaders QUALIFY row_number() OVER (PARTITION BY "Location" ORDER BY -({dot}), leaders.l.p) = 1
+)"""
+
+
+def _thin_clusters(distance_km: float, center: bool) -> str:
+    off = " + ".join(f"pow({n} - avg({n}) OVER (PARTITION BY lat_bin), 2)" for n in "xyz") if center else "0"
+    return f"WITH RECURSIVE {_clusters(distance_km)}, off AS (SELECT *, {off} AS off FROM cells) SELECT {ROW} FROM off QUALIFY row_number() OVER (PARTITION BY lat_bin ORDER BY off, \"Location\") = 1"
+
+
 def _periodic(period: str, window: str, inside: str) -> str:
     return f"""WITH {OBS}, o AS (SELECT * FROM obs WHERE {inside}), s AS (
   SELECT unnest(generate_series((SELECT arg_min(ts, "Location") FROM o), (SELECT arg_max(ts, "Location") FROM o), INTERVAL {period})) AS s)
@@ -270,6 +304,10 @@ def oracle_sql() -> dict[str, str]:
         "channels": 'SELECT vec_id AS "Location", ' + ", ".join(f"round(embedding[{c}]::DOUBLE, 5) AS r{c}" for c in (3, 9, 64)) + " FROM embeddings",
         "thin_grid_center": _thin(10, 10, CENTER),
         "thin_grid_first": _thin(5, 12.5, '"Location"'),
+        "thin_distance_center": _thin_clusters(1500, True),
+        "thin_distance_first": _thin_clusters(10 * KM_PER_DEGREE, False),
+        "distance_clusters": f'WITH RECURSIVE {_clusters(1500)} SELECT "Location", lat_bin AS leader FROM cells',
+        "superob_distance": "WITH RECURSIVE " + _superob("mean").removeprefix("WITH ").replace(_cells(10, 10), _clusters(2000)),
         "superob_mean": _superob("mean"),
         "superob_median": _superob("median"),
         "superob_first": f"WITH {_cells(10, 10)} SELECT \"Location\", ts, round(latitude, 7) AS latitude, round(longitude, 7) AS longitude, round(value, 7) AS value FROM cells QUALIFY row_number() OVER (PARTITION BY lat_bin, lon_bin ORDER BY \"Location\") = 1",
