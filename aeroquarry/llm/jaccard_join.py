@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import shingles
-from ._util import Scratch
+from . import bitfilter, shingles
+from ._util import BLANKS, Scratch
 from .graph import components
 from .packed import pack, split_by, unpack
 
@@ -318,7 +318,8 @@ def classes(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
         F.when(big, F.col("label")).otherwise(F.pmod(F.xxhash64("label"), F.lit(parts))).alias("g0"),
         F.when(big, F.least("own", "other")).otherwise(F.lit(-1)).alias("g1"), F.when(big, F.greatest("own", "other")).otherwise(F.lit(-1)).alias("g2"),
     )
-    checked = rows.select("node", "n", "grams").join(placed, F.col("node") == F.col("n2")).select("node", "n", "grams", "label", "side", F.col("differ").alias("cross"), "g0", "g1", "g2")
+    # Neither side has a size bound, so neither is ever broadcast.
+    checked = rows.select("node", "n", "grams").join(placed.hint("merge"), F.col("node") == F.col("n2")).select("node", "n", "grams", "label", "side", F.col("differ").alias("cross"), "g0", "g1", "g2")
     links = scratch.save(checked.groupBy("g0", "g1", "g2").applyInPandas(_linked(pct), "a long, b long, links long"), "links")
     found = components(links.where("a <> b"), scratch, "found")
     degree = links.groupBy(F.col("a").alias("n3")).agg(F.sum("links").alias("n_links"))
@@ -329,7 +330,52 @@ def classes(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
 
 def jaccard_join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
     """Per document: n_shingles, component_id (least doc_id of its component) and links to other texts."""
+    scratch = Scratch(docs.sparkSession, "jaccard-ids")
     classed = classes(docs, k, pct).drop("node")
-    least = classed.where("n_shingles > 0").groupBy(F.col("class").alias("c2")).agg(F.min("doc_id").alias("least"))
-    joined = classed.join(least, (F.col("class") == F.col("c2")) & (F.col("n_shingles") > 0), "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "n_links")
+    some = classed.where("n_shingles > 0")
+    # Stored, so that both sides of the join are plain exchanges: Spark can then split the class of a hot text.
+    least = scratch.save(some.groupBy(F.col("class").alias("c2")).agg(F.min("doc_id").alias("least")), "least")
+    joined = some.join(least, F.col("class") == F.col("c2"), "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "n_links")
+    return joined.unionByName(classed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "n_links"))
+
+
+def one_of_each_class(docs: DataFrame, k: int = 5, pct: int = 80) -> DataFrame:
+    """Rows of ``docs``, one of each class of near duplicates: the least by doc_id (nulls last), then by hash of the text.
+
+    Rows are told apart by id and text together, so ids may be null or shared by different texts. Of rows that are
+    equal in both one stays; texts without shingles (null, blank) are in no class and all stay. Columns pass through.
+
+    Texts hardly move. A first bit filter holds the rows to be judged (removed, or repeated): what misses it stays.
+    Every row's key is known, so the others that hit it by chance are known too: a second filter holds these and the
+    repeated rows, and what hits only the first filter goes. The few rows that hit both are shuffled to be told
+    apart exactly. The plan is the same at every size; past the filters' bounds more rows are shuffled.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "one-of-each")
+    counted = classes(docs, k, pct).where("n_shingles > 0").groupBy("class", "doc_id", "node").agg(F.count(F.lit(1)).alias("copies"))
+    counted = scratch.save(counted, "counted")
+    least = counted.groupBy(F.col("class").alias("c2")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("least"))
+    least = scratch.save(least, "least")
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("node") == F.col("least.node"))
+    decided = counted.join(least, F.col("class") == F.col("c2")).select("doc_id", "node", F.xxhash64("doc_id", "node").alias("key"), stays.alias("stays"), (F.col("copies") > 1).alias("again"))
+    decided = scratch.save(decided, "decided")
+
+    def filter_of(keys: DataFrame):
+        bits = spark.sparkContext.broadcast(bitfilter.build(keys, "key", keys.count()))  # of bounded size
+
+        @F.pandas_udf("boolean")
+        def hit(keys: pd.Series) -> pd.Series:
+            return pd.Series(bitfilter.hits(bits.value, keys.to_numpy(np.int64)))
+
+        return hit(F.col("key"))
+
+    judged = filter_of(decided.where("NOT stays OR again").select("key"))
+    unsure = decided.where("stays AND again").select("key").unionByName(decided.where("stays AND NOT again").where(judged).select("key"))
+    unsure = filter_of(scratch.save(unsure, "unsure"))
+    text = F.col("text")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_node(text).alias("node"), (F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS)) != "").alias("worded"))
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "node"))
+    met = rows.where("worded").where(judged).where(unsure).dropDuplicates(["doc_id", "node"])
+    gone = decided.where("NOT stays").select(F.col("doc_id").alias("gone_id"), F.col("node").alias("gone_node")).hint("merge")
+    kept = met.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("node") == F.col("gone_node")), "left_anti")
+    return rows.where(~F.col("worded") | ~judged).select("row.*").unionByName(kept.select("row.*"))

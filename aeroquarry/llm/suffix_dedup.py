@@ -343,7 +343,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"))
     ids = scratch.save(keyed.select("doc_id", "node", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text"), 256).alias("whole")), "ids")
-    total = int(ids.agg(F.sum("n_bytes")).first()[0] or 0)
+    total, n_docs = ids.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)), F.count(F.lit(1))).first()
     buckets, groups = max(1, total // BUCKET_BYTES), max(1, total // GROUP_BYTES)
     picked = keyed.mapInArrow(_picked(buckets, groups), ROWS)
     matched = scratch.save(picked.groupBy("kind", "place").applyInPandas(_matched(groups), ROWS), "matched")
@@ -351,10 +351,10 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     contexts = int(asked.agg(F.sum("items")).first()[0] or 0)
     if contexts:
         shards = max(1, contexts * (SPAN + LENGTH) // SHARD_BYTES)
-        cut = _cogrouped(spark, keyed, asked, groups, _cut(shards), ROWS)
+        cut = _cogrouped(spark, keyed, n_docs, asked, groups, _cut(shards), ROWS)
         from_shards = cut.groupBy("place").applyInPandas(_sorted(groups), ROWS)
         covered = covered.unionByName(scratch.save(from_shards, "sorted"))
-    changed = scratch.save(_cogrouped(spark, keyed, covered, groups, _removed, CUT_ROWS), "changed")
+    changed = scratch.save(_cogrouped(spark, keyed, n_docs, covered, groups, _removed, CUT_ROWS), "changed")
     least = ids.groupBy(F.col("node").alias("n2")).agg(F.min("doc_id").alias("least"))
     own = ids.join(least, F.col("node") == F.col("n2")).drop("n2")
     edits = changed.select(F.col("doc_id").alias("d3"), F.col("node").alias("n3"), "n_removed", "n_spans", "kept_sha256")
@@ -369,8 +369,8 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
-def _cogrouped(spark, keyed: DataFrame, rows: DataFrame, groups: int, step, schema: str) -> DataFrame:
+def _cogrouped(spark, keyed: DataFrame, n_docs: int, rows: DataFrame, groups: int, step, schema: str) -> DataFrame:
     """``step`` over groups of documents: texts of the rows that ``rows`` speak of, and those rows."""
-    bits = spark.sparkContext.broadcast(bitfilter.build(rows.select("payload").mapInPandas(_keys, "key long"), "key"))
+    bits = spark.sparkContext.broadcast(bitfilter.build(rows.select("payload").mapInPandas(_keys, "key long"), "key", n_docs))
     texts = keyed.mapInArrow(_texts(bits, groups), "place int, doc_id long, node long, text string")
     return texts.groupBy("place").cogroup(rows.select("place", "payload").groupBy("place")).applyInPandas(step, schema)
