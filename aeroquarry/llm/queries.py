@@ -67,7 +67,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     of_kind = lambda i: F.filter("spans", lambda s: s["base"] & (s["kind"] == i))
     counts = [F.size(of_kind(i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
-    return found.select("doc_id", *counts, F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def queries() -> dict:
