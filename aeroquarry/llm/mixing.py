@@ -2,23 +2,34 @@
 
 Sources (by code point, null last) carry repeating weights and share a budget
 of words; a target stops at ``max_repeat`` times its source, and the excess is
-shared anew by weight. With expected copies ``e = target / size`` a document
-first gets ``floor(e)`` certain copies. For the rest, documents are ranked by
-the Pareto order statistic: the odds ``u / (1 - u)`` of a hashed uniform number
-divided by the inclusion odds ``f / (1 - f)``, ``f = e - floor(e)``; the lowest
-ranks are taken until their words meet the source's remaining target. Where a
-``measure`` column is given, inclusion odds differ between the documents of a
-source. Only DataFrame functions run; ranks are cut by two levels of
-histograms, so a source of any size is never sorted in one task.
+shared anew by weight. Within a source the expected copies ``e`` of a document
+are proportional to its measure, stopped at ``max_repeat``; what the stopped
+ones can't take is shared anew among the others, so that the expected words
+still add up to the target. A document first gets ``floor(e)`` certain copies.
+For the rest, documents are ranked by the Pareto order statistic: the odds
+``u / (1 - u)`` of a hashed uniform number divided by the inclusion odds
+``f / (1 - f)``, ``f = e - floor(e)``; the lowest ranks are taken until their
+words meet the source's remaining target, so the sample's size in words is fixed.
+
+The measure is ``ln(e + size)`` unless a column is named: long documents, which
+teach long contexts, have up to a few times the odds of short ones. It is used
+in steps of about one percent, so its sums come from a table of a bounded
+number of steps for each source. Only DataFrame functions run; ranks are cut by
+two levels of histograms, so a source of any size is never sorted in one task.
+The table of sources itself (one narrow row each) is sorted in one task.
 
 Defined results: a null or blank text has size 0 and adds no words; null is a
-source of its own; equal ranks are ordered by doc_id; rows that are repeats of
-each other share a rank and are cut by order of their hash; an empty table gives an
-empty result. The draw depends on nothing but ids, texts and seed.
+source of its own; a measure that is null, NaN or not above zero counts as the
+least one (``LEAST``); equal ranks are ordered by doc_id; rows equal in all
+columns share a rank, and where the cut falls among them as many are taken as
+come nearest to the target; very long texts are counted whole; an empty table
+gives an empty result; further columns pass through, whatever their names. The
+draw depends on nothing but the row's values and the seed.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +39,10 @@ from ._util import Scratch, unit_hash, word_count
 
 #: Histogram cells for each level: the ranks left to sort shrink by this factor twice.
 CELLS = 4096
+#: Measures lie between these, in steps of a 64th of a power of two.
+LEAST, MOST, STEPS = 2.0**-20, 2.0**20, 64
+#: Repeats of a row that one array lists; more are listed by several tasks.
+CHUNK = 1000
 
 
 def targets(sources: DataFrame, weights: Sequence[int], share_pct: int, max_repeat: int) -> DataFrame:
@@ -63,35 +78,63 @@ def _first_open(cells: DataFrame, keys: list[str], cell: str, budget: Column) ->
     return run.groupBy(*keys, *([] if "__rest" in keys else ["__rest"])).agg(over.alias("__at"))
 
 
+def _many(rows: DataFrame, count: Column) -> DataFrame:
+    """Each row ``count`` times (at least once), numbered by ``nth`` from 0; the numbers are made in chunks that any task can take."""
+    rows = rows.withColumn("__count", count.cast("long"))
+    chunks = rows.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__count") - 1) / CHUNK).cast("long")))).repartition("__chunk")
+    last = F.least(F.col("__count"), (F.col("__chunk") + 1) * CHUNK) - 1
+    return chunks.withColumn("nth", F.explode(F.sequence(F.col("__chunk") * CHUNK, last))).drop("__count", "__chunk")
+
+
 class Mix:
-    """The decisions of a mix: targets of the sources and, for each, the rank up to which documents get one copy more."""
+    """The decisions of a mix: targets of the sources, the copies that each step of the measure expects, and the cut of each source's ranks."""
 
     def __init__(self, docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share_pct: int = 150, max_repeat: int = 2, seed: int = 17, measure: str | None = None) -> None:
         self.seed, self.max_repeat, self.measure = seed, max_repeat, measure
         scratch = Scratch(docs.sparkSession, "mixing")
-        self.sized = scratch.save(self._sized(docs), "sized")
-        sums = self.sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("m")).alias("mass"))
-        sources = scratch.save(sums, "sums")
-        aims = scratch.save(targets(sources.select("source", "source_size"), weights, share_pct, max_repeat), "targets")
-        aims = aims.join(sources.select(F.col("source").alias("s2"), "mass"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
+        self.sized = scratch.save(self._sized(docs).drop("row"), "sized")
+        self.steps = scratch.save(self.sized.groupBy("source", "step").agg(F.sum("size").alias("words")), "steps")
+        sources = scratch.save(self.steps.groupBy("source").agg(F.sum("words").alias("source_size")), "sources")
+        aims = scratch.save(targets(sources, weights, share_pct, max_repeat), "targets")
+        factors = self._factors(aims)
+        aims = aims.join(factors, F.col("source").eqNullSafe(F.col("__f")), "left").drop("__f")
         self.aims = scratch.save(aims.withColumnRenamed("source", "__s"), "aims")  # stored, so the planner knows how small it is
         self.ranked = scratch.save(self._ranked(self.sized), "ranked")
         self.bounds = self._bounds(scratch)
-
-    def _sized(self, docs: DataFrame, *more: Column) -> DataFrame:
-        text = F.coalesce(F.col("text"), F.lit(""))
-        return docs.select(
-            *more, F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
-            unit_hash(F.lit(self.seed), F.col("doc_id"), F.xxhash64(text)).alias("u"),
-            F.col(self.measure).cast("double").alias("m") if self.measure else F.lit(1.0).alias("m"),
+        self.split = self.bounds.where("part.u IS NOT NULL").limit(1).count() > 0
+
+    def _sized(self, docs: DataFrame) -> DataFrame:
+        """Whole rows as ``row``, with what decides about them. Rows equal in all columns have equal ``u``."""
+        packed = docs.select(F.struct("*").alias("row"))
+        others = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+        beside = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+        rows = packed.select(
+            "row", F.col("row.doc_id").alias("doc_id"), F.col("row.source").cast("string").alias("source"), word_count(F.col("row.text")).alias("size"),
+            unit_hash(F.lit(self.seed), F.col("row.doc_id"), F.xxhash64(F.coalesce(F.col("row.text"), F.lit(""))), beside).alias("u"),
         )
+        m = F.col(f"row.`{self.measure}`").cast("double") if self.measure else F.log(F.col("size") + F.lit(math.e))
+        m = F.least(F.greatest(F.coalesce(F.nanvl(m, F.lit(0.0)), F.lit(0.0)), F.lit(LEAST)), F.lit(MOST))
+        return rows.withColumn("step", F.floor(F.log2(m) * STEPS).cast("int"))
+
+    def _factors(self, aims: DataFrame) -> DataFrame:
+        """For each source the factor that turns measures into expected copies; null where every document is stopped.
+
+        Steps are stopped from the largest measure down; the factor is that of the first step which it doesn't stop.
+        """
+        order = Window.partitionBy("source").orderBy(F.desc("step"))
+        above = order.rowsBetween(Window.unboundedPreceding, -1)
+        onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        aim = aims.select(F.col("source").alias("__t"), "target")
+        rows = self.steps.join(aim, F.col("source").eqNullSafe(F.col("__t"))).withColumn("m", _measure(F.col("step")))
+        left = F.col("target") - self.max_repeat * F.coalesce(F.sum("words").over(above), F.lit(0))
+        rows = rows.withColumn("factor", F.try_divide(left, F.sum(F.col("words") * F.col("m")).over(onward)))
+        return rows.where(F.col("factor") * F.col("m") <= self.max_repeat).groupBy(F.col("source").alias("__f")).agg(F.max_by("factor", "step").alias("factor"))
 
     def _ranked(self, sized: DataFrame) -> DataFrame:
         """Adds the source's figures, whole copies and the Pareto rank with its cells."""
         rows = sized.join(self.aims, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
-        expected = F.when(
-            (F.col("source_size") > 0) & (F.col("mass") > 0), F.least(F.col("target") * F.col("m") / F.col("mass"), F.lit(float(self.max_repeat)))
-        ).otherwise(F.lit(0.0))
+        most = F.lit(float(self.max_repeat))
+        expected = F.when(F.col("source_size") > 0, F.coalesce(F.least(F.col("factor") * _measure(F.col("step")), most), most)).otherwise(F.lit(0.0))
         rows = rows.withColumn("e", expected).withColumn("whole", F.floor("e")).withColumn("f", F.col("e") - F.col("whole"))
         # q = [u / (1 - u)] / [f / (1 - f)] is kept as q / (1 + q), which has the same order and lies in (0, 1).
         u, f = F.col("u"), F.col("f")
@@ -99,7 +142,7 @@ class Mix:
         return rows.withColumns({"c1": _cell(F.col("rank"), 1), "c2": _cell(F.col("rank"), 2)})
 
     def _bounds(self, scratch: Scratch) -> DataFrame:
-        """A row for each source: the cells in which its budget runs out, and the last rank taken there."""
+        """A row for each source: the cells in which its budget runs out, the last rank taken whole, and equal rows of which a part is taken."""
         on = F.col("source").eqNullSafe(F.col("__s"))
         # What is left of each target after the certain copies.
         rest = self.ranked.groupBy("source").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("__rest"))
@@ -117,38 +160,59 @@ class Mix:
             ),
             "open2",
         )
-        # Only the ranks of one cell of the second level are ordered: the last few documents of each source.
+        # Only the ranks of one cell of the second level are ordered, equal rows as one: the last few documents of each source.
         edge = inside.join(open2, F.col("source").eqNullSafe(F.col("__s2")) & (F.col("c2") == F.col("o2"))).drop("__s2")
-        order = Window.partitionBy("source").orderBy("rank", "doc_id", "u").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        edge = edge.withColumn("cum", F.sum("size").over(order) + F.col("b2"))
-        nearer = F.col("cum") - F.col("rest2") < F.col("rest2") - (F.col("cum") - F.col("size"))
-        won = edge.where((F.col("cum") <= F.col("rest2")) | ((F.col("cum") - F.col("size") < F.col("rest2")) & nearer))
-        cut = won.groupBy("source").agg(F.max(F.struct("rank", "doc_id", "u")).alias("last")).withColumnRenamed("source", "__s3")
+        item = ["rank", "doc_id", "u"]
+        equal = edge.groupBy("source", *item, "size", "whole", "source_size", "target", "rest2", "b2").agg(F.count(F.lit(1)).alias("n"))
+        order = Window.partitionBy("source").orderBy(*item).rowsBetween(Window.unboundedPreceding, -1)
+        equal = equal.withColumn("before", F.coalesce(F.sum(F.col("n") * F.col("size")).over(order), F.lit(0)) + F.col("b2"))
+        room = F.col("rest2") - F.col("before")
+        nearest = F.ceil(F.try_divide(room, F.col("size")) - 0.5)
+        take = F.when(F.col("n") * F.col("size") <= room, F.col("n")).when(room > 0, F.greatest(F.least(nearest, F.col("n")), F.lit(0))).otherwise(F.lit(0)).cast("long")
+        equal = equal.withColumn("take", take)
+        whole = F.max(F.when(F.col("take") == F.col("n"), F.struct(*item))).alias("last")
+        part = F.max(F.when((F.col("take") > 0) & (F.col("take") < F.col("n")), F.struct(*item, "n", "take", "size", "whole", "source_size", "target"))).alias("part")
+        cut = equal.groupBy(F.col("source").alias("__s3")).agg(whole, part)
         bounds = open1.join(open2.select("__s2", "o2"), F.col("__s").eqNullSafe(F.col("__s2")), "left").drop("__s2")
-        return scratch.save(bounds.join(cut, F.col("__s").eqNullSafe(F.col("__s3")), "left").select("__s", "o1", "o2", "last"), "bounds")
+        return scratch.save(bounds.join(cut, F.col("__s").eqNullSafe(F.col("__s3")), "left").select("__s", "o1", "o2", "last", "part"), "bounds")
 
     def decide(self, ranked: DataFrame) -> DataFrame:
-        """Ranked rows with their ``copies``."""
+        """Ranked rows with their ``copies``; null for equal rows of which only a part is taken."""
+        own = F.struct("rank", "doc_id", "u")
         chosen = (
             F.when(F.col("rank").isNull(), False)
             .when(F.col("o1").isNull() | (F.col("c1") < F.col("o1")), True)
             .when(F.col("c1") > F.col("o1"), False)
             .when(F.col("c2") != F.col("o2"), F.col("c2") < F.col("o2"))
-            .otherwise(F.coalesce(F.struct("rank", "doc_id", "u") <= F.col("last"), F.lit(False)))
+            .otherwise(F.coalesce(own <= F.col("last"), F.lit(False)))
         )
         out = ranked.join(self.bounds, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
-        return out.withColumn("copies", F.least(F.col("whole") + chosen.cast("long"), F.lit(self.max_repeat)).cast("long"))
+        partly = (F.col("rank") == F.col("part.rank")) & F.col("doc_id").eqNullSafe(F.col("part.doc_id")) & (F.col("u") == F.col("part.u"))
+        return out.withColumn("copies", F.when(~F.coalesce(partly, F.lit(False)), F.col("whole") + chosen.cast("long")).cast("long"))
+
+
+def _measure(step: Column) -> Column:
+    return F.pow(F.lit(2.0), step / STEPS)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """Per document: doc_id, size, source_size, target, copies and taken words. Options as in ``Mix``."""
     plan = Mix(docs, **options)
-    return plan.decide(plan.ranked).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    columns = ["doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")]
+    out = plan.decide(plan.ranked).where("copies IS NOT NULL").select(*columns)
+    if not plan.split:
+        return out
+    parts = _many(plan.bounds.where("part.u IS NOT NULL").select(F.col("__s").alias("source"), "part.*"), F.col("n"))
+    parts = parts.withColumn("copies", F.col("whole") + (F.col("nth") < F.col("take")).cast("long"))
+    return out.unionByName(parts.select(*columns))
 
 
 def repeat_by_mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents themselves: a row for each copy taken, columns as in ``docs``. Texts meet only the small tables of sources."""
     plan = Mix(docs, **options)
-    rows = plan._ranked(plan._sized(docs, F.struct(*docs.columns).alias("__row")))
-    times = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("__copy")
-    return plan.decide(rows).where("copies > 0").select("__row", times).select("__row.*")
+    rows = plan.decide(plan._ranked(plan._sized(docs)))
+    out = rows.where("copies > 0").select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    if not plan.split:
+        return out
+    same = rows.where("copies IS NULL").dropDuplicates(["source", "doc_id", "u"])  # equal rows: one stands for all
+    return out.unionByName(_many(same, F.col("part.n") * F.col("whole") + F.col("part.take")).select("row.*"))
