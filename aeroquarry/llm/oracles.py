@@ -22,10 +22,14 @@ m AS (
   FROM w LEFT JOIN hit USING (r)
 ),
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
-h AS (SELECT host, count(*)::DOUBLE AS n, count(*) FILTER (WHERE base_failed)::DOUBLE AS k FROM f WHERE host IS NOT NULL GROUP BY host),
-p AS (SELECT sum(k) / sum(n) AS mean, avg(k / n) AS m, coalesce(var_samp(k / n), 0) - avg(k / n) * (1 - avg(k / n)) * avg(1 / n) AS b FROM h),
-s AS (SELECT mean, least(greatest(CASE WHEN b > 0 THEN m * (1 - m) / b - 1 ELSE 1e4 END, 20), 1e4) AS strength FROM p),
-out AS (SELECT host FROM h, s WHERE (k + mean * strength) / (n + strength) > 0.5)
+e AS (
+  SELECT host, unnest([n_words < 10, 100 * n_repeat_words > 20 * n_words, 100 * n_symbols > 10 * word_chars, 100 * n_dup_lines > 10 * n_words]) AS failed, unnest([1, 2, 3, 4]) AS rule
+  FROM f WHERE host IS NOT NULL
+),
+h AS (SELECT host, rule, count(*)::DOUBLE AS n, count(*) FILTER (WHERE failed)::DOUBLE AS k FROM e GROUP BY host, rule),
+p AS (SELECT rule, sum(k) / sum(n) AS mean, avg(k / n) AS m, coalesce(var_samp(k / n), 0) - avg(k / n) * (1 - avg(k / n)) * avg(1 / n) AS b FROM h GROUP BY rule),
+s AS (SELECT rule, mean, least(greatest(CASE WHEN b > 0 THEN m * (1 - m) / b - 1 ELSE 1e4 END, 20), 1e4) AS strength FROM p),
+out AS (SELECT host FROM h JOIN s USING (rule) WHERE (k + mean * strength) / (n + strength) > greatest(least(4 * mean, (1 + mean) / 2), 0.25))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND (host IS NULL OR host NOT IN (SELECT host FROM out)) AS kept
 FROM f"""
@@ -42,20 +46,30 @@ o AS (
   FROM p JOIN labels ON try_cast(regexp_extract(path, '/([0-9]{1,18})([.]html)?/?$', 1) AS BIGINT) = doc_id
   WHERE host <> '' AND (quality IS NOT NULL OR toxic IS NOT NULL)
 ),
-h AS (
-  SELECT host, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain, count(*)::DOUBLE AS n, count(*) FILTER (WHERE bad)::DOUBLE AS k
-  FROM o GROUP BY host
+every AS (
+  SELECT host, array_to_string(parts[-n:], '.') AS suffix, array_to_string(parts[-n - 1:], '.') AS domain
+  FROM (SELECT host, string_split(host, '.') AS parts, CASE WHEN array_to_string(string_split(host, '.')[-2:], '.') IN
+    ('co.uk', 'org.uk', 'com.au', 'co.jp', 'co.nz', 'com.br', 'co.za', 'co.in', 'com.mx', 'com.cn') THEN 2 ELSE 1 END AS n FROM (SELECT DISTINCT host FROM p WHERE host <> ''))
 ),
-d AS (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM h GROUP BY suffix, domain),
+h AS (SELECT e.host, e.suffix, e.domain, count(o.host)::DOUBLE AS n, count(*) FILTER (WHERE o.bad)::DOUBLE AS k FROM every e LEFT JOIN o USING (host) GROUP BY ALL),
+d AS (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM h WHERE n > 0 GROUP BY suffix, domain),
 s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY suffix),
-levels AS (SELECT 's' AS level, n, k FROM s UNION ALL SELECT 'd', n, k FROM d UNION ALL SELECT 'h', n, k FROM h),
+levels AS (SELECT 's' AS level, n, k FROM s UNION ALL SELECT 'd', n, k FROM d UNION ALL SELECT 'h', n, k FROM h WHERE n > 0),
 v AS (SELECT level, avg(k / n) AS m, coalesce(var_samp(k / n), 0) - avg(k / n) * (1 - avg(k / n)) * avg(1 / n) AS b FROM levels GROUP BY level),
 strength AS (SELECT level, CASE WHEN b > 0 THEN least(greatest(m * (1 - m) / b - 1, 2), 1e4) ELSE 1e4 END AS t FROM v),
-ts AS (SELECT max(t) FILTER (WHERE level = 's') AS s, max(t) FILTER (WHERE level = 'd') AS d, max(t) FILTER (WHERE level = 'h') AS h FROM strength),
-rs AS (SELECT suffix, (k + ts.s * (SELECT sum(k) / sum(n) FROM s)) / (n + ts.s) AS rate FROM s, ts),
-rd AS (SELECT d.suffix, domain, (k + ts.d * rs.rate) / (n + ts.d) AS rate FROM d JOIN rs USING (suffix), ts),
-rh AS (SELECT host, n + ts.h AS w, (k + ts.h * rd.rate) / (n + ts.h) AS rate FROM h JOIN rd USING (suffix, domain), ts),
-blocked AS (SELECT host FROM rh WHERE rate - 1.645 * sqrt(rate * (1 - rate) / (w + 1)) > 0.5),
+ts AS (SELECT max(t) FILTER (WHERE level = 's') AS s, max(t) FILTER (WHERE level = 'd') AS d, max(t) FILTER (WHERE level = 'h') AS h, (SELECT sum(k) / sum(n) FROM s) AS mean FROM strength),
+ab AS (
+  SELECT host, k + ts.h * r AS a, n - k + ts.h * (1 - r) AS b, least(2 * mean, 0.95) AS x FROM (
+    SELECT h.host, h.n, h.k, greatest(least(coalesce((d.k + ts.d * rs) / (d.n + ts.d), rs), 1 - 1e-6), 1e-6) AS r FROM (
+      SELECT h.*, coalesce((s.k + ts.s * ts.mean) / (s.n + ts.s), ts.mean) AS rs FROM h LEFT JOIN s USING (suffix), ts
+    ) h LEFT JOIN d USING (suffix, domain), ts
+  ), ts
+),
+-- The density above x is summed over 20000 strips that narrow towards 1: t = 1 - (1 - x) * w ** 8.
+blocked AS (
+  SELECT host FROM (SELECT host, a, b, x, ln((i + 0.5) / 20000) AS w FROM ab, range(20000) g(i))
+  GROUP BY host HAVING sum(exp((a - 1) * ln(1 - (1 - x) * exp(8 * w)) + (b - 1) * (ln(1 - x) + 8 * w) + lgamma(a + b) - lgamma(a) - lgamma(b) + ln(8 * (1 - x)) + 7 * w) / 20000) >= 0.95
+),
 r AS (
   SELECT *, CASE
     WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND prefix(path, '/en/') THEN 'example.net/en/'

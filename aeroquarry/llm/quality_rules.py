@@ -1,14 +1,19 @@
 """Operator 1: quality rules with host-level verdicts.
 
-Every document is measured on its whole text. Rule failures are counted for
-each host (the ``source`` column), each host's rate is shrunk towards the mean
-of all hosts by an empirical beta prior, and a host whose shrunk rate passes
-the limit loses all its documents.
+Every document is measured on its whole text and put to four rules: too few
+words, repeated passages, symbols, repeated lines. The failures of each rule
+are counted for each host (the ``source`` column), and each host's rate is
+shrunk towards the mean of all hosts by that rule's own empirical beta prior. A
+host whose shrunk rate passes the limit of any rule (``LIFT`` times the mean, but
+at most half way from the mean to 1, and at least ``LEAST_LIMIT``) loses all its
+documents. A document itself fails by the
+first two rules only; the other two speak about hosts.
 
 Defined results: a null or blank text has no words and fails the length rule;
 rows without a host get no host verdict (kept unless they fail themselves);
+very long texts are measured whole, with a few bytes a word; null ids and
 repeated rows are judged one by one; an empty table gives an empty result;
-further columns of the input are ignored.
+further columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,6 +31,11 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 LONG_WORDS = 200_000
 FEATURES = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+#: A host goes when a rule's shrunk rate passes LIFT times the rule's mean (half way to 1 at most), but never below LEAST_LIMIT.
+LIFT, LEAST_LIMIT = 4.0, 0.25
+#: Percent: repeated words and lines of all words, and symbols of all characters of words.
+MAX_REPEAT, MAX_LINES, MAX_SYMBOLS = 20, 10, 10
+RULES = ("short", "repeats", "symbols", "lines")
 _BLANK_CHARS = " \t\n\x0b\f\r"
 
 
@@ -102,21 +112,31 @@ def beta_prior(hosts: DataFrame, failed: str, total: str, default_strength: floa
     return mean, min(max(strength, default_strength), 1e4)
 
 
-def quality_rules(docs: DataFrame, host: str = "source", min_words: int = 10, max_repeat_pct: int = 20, max_host_rate: float = 0.5) -> DataFrame:
+def rule_columns(min_words: int) -> dict:
+    """Whether a measured document fails each rule."""
+    return {
+        "short": F.col("n_words") < min_words,
+        "repeats": F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT,
+        "symbols": F.col("n_symbols") * 100 > F.col("word_chars") * MAX_SYMBOLS,
+        "lines": F.col("n_dup_lines") * 100 > F.col("n_words") * MAX_LINES,
+    }
+
+
+def quality_rules(docs: DataFrame, host: str = "source", min_words: int = 10, lift: float = LIFT, least_limit: float = LEAST_LIMIT) -> DataFrame:
     """Per document: its measures, ``base_failed`` and ``kept`` after the host's verdict."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality-rules")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(host).alias("host"), F.col("text"))
-    failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_pct)
-    measured = scratch.save(rows.mapInArrow(_measured, FEATURES).withColumn("base_failed", failed), "measured")
-    hosts = scratch.save(
-        measured.where(F.col("host").isNotNull()).groupBy("host").agg(F.count(F.lit(1)).alias("total"), F.sum(F.col("base_failed").cast("long")).alias("failed")),
-        "hosts",
-    )
-    mean, strength = beta_prior(hosts, "failed", "total")
-    shrunk = (F.col("failed") + mean * strength) / (F.col("total") + strength)
-    rejected = hosts.where(shrunk > max_host_rate).select("host", F.lit(True).alias("host_rejected"))
-    return measured.join(rejected, "host", "left").select(
+    fails = rule_columns(min_words)
+    measured = scratch.save(rows.mapInArrow(_measured, FEATURES).withColumn("base_failed", fails["short"] | fails["repeats"]), "measured")
+    counts = [F.sum(fails[rule].cast("long")).alias(rule) for rule in RULES]
+    hosts = scratch.save(measured.where(F.col("host").isNotNull()).groupBy("host").agg(F.count(F.lit(1)).alias("total"), *counts), "hosts")
+    rejected = F.lit(False)
+    for rule in RULES:
+        mean, strength = beta_prior(hosts, rule, "total")
+        rejected |= (F.col(rule) + mean * strength) / (F.col("total") + strength) > max(min(lift * mean, (1 + mean) / 2), least_limit)
+    out = hosts.where(rejected).select(F.col("host").alias("__host"))
+    return measured.join(out, F.col("host") == F.col("__host"), "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & F.col("host_rejected").isNull()).alias("kept"),
+        (~F.col("base_failed") & F.col("__host").isNull()).alias("kept"),
     )
