@@ -14,11 +14,17 @@ there; role line breaks become ``\\n`` likewise. ``loss`` lists the spans
 Defined results: null roles and texts are empty; turns with equal numbers are
 ordered by role, then text; repeated rows stay; a null tree id is a tree of
 its own; a parent that is not in its tree makes its child a root; messages on a
-cycle have no root and belong to no path; an empty table gives an empty result.
+cycle have no root and belong to no path; branches of equal score are ranked
+longer first, then by the least leaf; very long texts stay whole (a
+conversation is one string); all rows with a null conversation are one tree;
+further columns are ignored, whatever their names; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,14 +99,14 @@ def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     else:
         order = Window.partitionBy("tree_id").orderBy(F.desc("gain"), F.desc("depth"), "node_id")
         picked = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("tree_id", F.col("node_id").alias("leaf"), "rank", "depth")
-    path = scratch.save(picked.withColumn("node_id", F.col("leaf")), "path")
+    parts = [scratch.save(picked.withColumn("node_id", F.col("leaf")), "path")]
     for k in range(len(jumps) - 1, -1, -1):  # all sums of distinct powers of two: every distance once
         hop = jumps[k].select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "up")
-        more = path.join(hop, same("tree_id", "t") & (F.col("node_id") == F.col("n"))).select(
+        more = reduce(DataFrame.unionByName, parts).join(hop, same("tree_id", "t") & (F.col("node_id") == F.col("n"))).select(
             "tree_id", "leaf", "rank", (F.col("depth") - 2**k).alias("depth"), F.col("up").alias("node_id")
         )
-        path = scratch.save(path.select("tree_id", "leaf", "rank", "depth", "node_id").unionByName(more), f"path{k}")
-    return path
+        parts.append(scratch.save(more, f"path{k}"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def format_paths(messages: DataFrame, path: DataFrame) -> DataFrame:
