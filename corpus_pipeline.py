@@ -20,29 +20,12 @@ SHINGLE_WORDS, SIMILARITY_PCT = 5, 80
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier accepts; learnt from the labels outside the held-out fold."""
     model = classifier.train(docs, table(spark, sf_dir, "labels"), ~classifier.held_out(F.col("doc_id")))
-    scored = classifier.score_column(docs, model)
-    return scored.where(F.col("__score") >= classifier.ACCEPT).select(*docs.columns)
+    return classifier.score_column(docs, model).where(F.col("score") >= classifier.ACCEPT).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near duplicates: the least by doc_id (nulls last), then by hash of the text.
-
-    Rows are told apart by id and text together, so ids may be null or shared by different texts. Of a row that
-    is repeated with id and text one stays; texts without shingles (null, blank) are in no class and all stay.
-    """
-    scratch = Scratch(spark, "near-duplicates")
-    rows = jaccard_join.classes(docs, SHINGLE_WORDS, SIMILARITY_PCT).where("n_shingles > 0").groupBy("class", "doc_id", "node").count()
-    rows = scratch.save(rows, "rows")
-    least = rows.groupBy(F.col("class").alias("c2")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("least"), F.sum("count").alias("size")).where("size > 1")
-    first = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("node") == F.col("least.node"))
-    marked = rows.join(least, F.col("class") == F.col("c2")).where(~first | (F.col("count") > 1))
-    marked = scratch.save(marked.select(F.col("doc_id").alias("__id"), F.col("node").alias("__node"), first.alias("__first")), "marked")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (jaccard_join.text_node(F.col("text")) == F.col("__node"))
-    kept = docs.join(marked, same, "left_anti")
-    repeated = marked.where("__first")
-    if not repeated.limit(1).count():
-        return kept
-    return kept.unionByName(docs.join(repeated, same).dropDuplicates(["__id", "__node"]).select(*docs.columns))
+    """One row of each class of near duplicates; texts without words are in no class and all stay."""
+    return jaccard_join.one_of_each_class(docs, SHINGLE_WORDS, SIMILARITY_PCT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
