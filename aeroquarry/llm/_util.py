@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scratch import shared_folder
+
 #: ASCII white space as the contracts fix it: a word is a maximal run of anything else.
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = "[\\x20\\x09-\\x0D]+"
@@ -27,19 +28,16 @@ def small_batches(spark: SparkSession) -> None:
 class Scratch:
     """Tables written as Parquet to the folder that all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``; where that is unset
-    (tests, local mode) a temporary folder is set for the session. A written
-    table cuts the lineage, so a lost executor never repeats the work before it.
+    The folder is the session's ``spark.checkpoint.dir``; where that is unset and
+    the master is local (tests) a temporary folder is set for the session, on a
+    cluster that is an error. A written table cuts the lineage, so a lost
+    executor never repeats the work before it.
     """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         small_batches(spark)
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            base = "file://" + tempfile.mkdtemp(prefix="aeroquarry-")
-            spark.conf.set("spark.checkpoint.dir", base)
-        self.base = f"{base.rstrip('/')}/aeroquarry/{label}-{uuid.uuid4().hex}"
+        self.base = f"{shared_folder(spark)}/aeroquarry/{label}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"

@@ -21,8 +21,10 @@ by each task), shingles by 48 bits and their bucket.
 Defined results: null and blank texts have no shingles and link with nothing,
 not even each other; texts of fewer words than a shingle are one shingle; texts
 that are equal, or differ only in case and spacing, are in one component;
-repeated rows are equal texts; an empty table gives an empty result; further
-columns are ignored.
+repeated rows are equal texts; rows with null ids link like others, but a
+component's id is its least id that is not null; very long texts are read
+whole, a task holding the shingles of one at a time; an empty table gives an
+empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,8 +12,10 @@ Shards are read and written through Arrow's file systems, so any store that it
 knows will do.
 
 Defined results: a null text is empty and has 64 zero bytes; equal texts have
-equal values; repeated rows share the stored bytes; an empty table gives an
-empty result.
+equal values; rows with null ids and repeated rows are stored like others and
+share the bytes of equal texts; a very long text is one image, as high as its
+length asks; an empty table gives an empty result; further columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -13,8 +13,11 @@ copy, so one task packs a bounded number of pieces whatever the input, and a
 text of many copies is spread over all shards.
 
 Defined results: a null or blank text has no words and one row without a bin;
-repeated rows are packed one by one; the plan depends only on ids and sizes;
-an empty table gives an empty result; further columns are ignored.
+repeated rows are packed one by one; a null id is an id like any other; items of
+equal size go by id, piece and copy; of bins that are equally tight the one that
+was filled last is taken; very long texts are cut into pieces whose number
+follows their words; the plan depends only on ids and sizes; an empty table
+gives an empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

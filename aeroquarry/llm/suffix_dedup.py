@@ -9,21 +9,27 @@ alone, so equal strings have equal anchors at equal places, and every match
 shares the context of an anchor: the bytes that any such string around it can
 reach. Equal contexts are found by hash, within a task first; all but those of
 the least document are covered as they stand. Where an anchor has several
-contexts, one of each is sent to a shard, and the shard's suffix array, built
-by induced sorting with disk-backed queues, brings equal strings together; each
-goes wherever a smaller document holds it. Covered stretches of all anchors are
-joined by document. No anchor, context or copy is dropped, and a stretch of
-text that many documents share leaves each task at most once.
+contexts, one of each is sent to a shard, and the shard's suffixes, sorted by
+induction with queues that go to files in the shared folder beyond
+``QUEUE_BYTES``, arrive with their common prefixes: neighbours that share
+``LENGTH`` bytes hold the same string, which goes wherever a smaller document
+holds it. An anchor with very many contexts is split: two contexts with a common
+string agree on the bytes beside the anchor, on one side or the other, so each
+context goes by either side. Covered stretches of all anchors are joined by
+document. No anchor, context or copy is dropped, and a stretch of text that many
+documents share leaves each task at most once.
 
 Defined results: a null text is empty; copies of a text with a smaller id are
 removed whole if they have ``LENGTH`` bytes, else kept; rows with the same id are
-the same document and don't cover each other; an empty table gives an empty
-result; further columns are ignored.
+the same document and don't cover each other; rows without an id cover nothing
+and stay whole; very long texts are searched whole; an empty table gives an
+empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -33,13 +39,15 @@ from pyspark.sql import functions as F
 
 from . import bitfilter, shingles
 from ._util import Scratch
-from .induced_sort import suffix_array
+from .induced_sort import sort_suffixes
 from .packed import merged, pack, split_by, unpack
 
 LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM  # anchors lie at most that far from the start of a string
 #: Text that a task combines at once, that a bucket of anchors or a group of documents stands for, and that a shard sorts.
-FLUSH_BYTES, BUCKET_BYTES, GROUP_BYTES, SHARD_BYTES = 32 << 20, 16 << 20, 4 << 20, 4 << 20
+FLUSH_BYTES, BUCKET_BYTES, GROUP_BYTES, SHARD_BYTES = 32 << 20, 16 << 20, 4 << 20, 2 << 20
+#: Memory of a sort's queues; contexts of one anchor beyond which they are dealt by the bytes beside it; so many bytes on either side.
+QUEUE_BYTES, HOT_CONTEXTS, SIDE = 1 << 20, 4096, SPAN // 2
 NO_HASH = np.uint64(2**64 - 1)
 ROWS = "kind int, place int, items long, payload binary"
 
@@ -185,7 +193,8 @@ def _matched(groups: int):
         if ask.any():
             place = (row_key(doc[ask], node[ask]) % np.uint64(groups)).astype(np.int64)
             gram = (np.int64(bucket) << 32) | short[ask].astype(np.int64)
-            for g, arrays in split_by(place, doc[ask], node[ask], gram, which[ask].astype(np.int64), p[ask]):
+            hot = (np.diff(np.append(edges, len(heads))) > HOT_CONTEXTS)[gram_of][which[ask]]
+            for g, arrays in split_by(place, doc[ask], node[ask], gram, which[ask].astype(np.int64), p[ask], hot):
                 out.append((2, g, len(np.unique(arrays[3])), pack(*arrays)))
         return pd.DataFrame(out, columns=["kind", "place", "items", "payload"])
 
@@ -222,13 +231,23 @@ def _by_row(doc: np.ndarray, node: np.ndarray) -> dict[tuple[int, int], np.ndarr
     return {(int(doc[x[0]]), int(node[x[0]])): x for x in np.split(order, cut) if len(x)}
 
 
+def _shards_of(gram: int, raw: bytes, at: int, shards: int) -> set[int]:
+    """Where a context of a hot anchor goes. A common string reaches ``SIDE`` bytes to the left of the anchor or more than that to the right."""
+    sides = []
+    if at >= SIDE:
+        sides.append((1, raw[at - SIDE : at]))
+    if len(raw) >= at + GRAM + SPAN - SIDE + 1:
+        sides.append((2, raw[at + GRAM : at + GRAM + SPAN - SIDE + 1]))
+    return {zlib.crc32(b, zlib.crc32(gram.to_bytes(8, "big", signed=True), side)) % shards for side, b in sides}
+
+
 def _cut(shards: int):
     """Context bytes of the asked anchors, by shard."""
 
     def run(texts: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(texts) and len(asked):
-            doc, node, gram, context, p = merged(asked["payload"])
+            doc, node, gram, context, p, hot = merged(asked["payload"])
             rows = _by_row(doc, node)
             found: dict[int, list] = {}
             for d, x, t in texts.drop_duplicates(["doc_id", "node"])[["doc_id", "node", "text"]].itertuples(index=False):
@@ -242,8 +261,8 @@ def _cut(shards: int):
                 for same in np.split(np.arange(len(at)), cuts):
                     first = int(q[same[0]])
                     lo = max(first - SPAN, 0)
-                    shard = int(shingles.mix(g[same[:1]].view(np.uint64))[0] % np.uint64(shards))
-                    found.setdefault(shard, []).append((d, x, first - lo, raw[lo : first + LENGTH], q[same]))
+                    for shard in _shards_of(int(g[same[0]]), raw, first, shards) if hot[at[same[0]]] else (int(shingles.mix(g[same[:1]].view(np.uint64))[0] % np.uint64(shards)),):
+                        found.setdefault(shard, []).append((d, x, first - lo, raw[lo : first + LENGTH], q[same]))
             for shard, items in found.items():
                 out.append((
                     3, shard, len(items),
@@ -258,44 +277,52 @@ def _cut(shards: int):
     return run
 
 
-def repeated(doc: np.ndarray, sizes: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Strings that a smaller document holds too: their context and their start in it, by suffix array."""
-    n = len(sizes)
+class _Repeats:
+    """Takes sorted suffixes block by block and keeps the starts of strings that a smaller document holds too."""
+
+    def __init__(self, doc_of: np.ndarray) -> None:
+        self.doc_of, self.open, self.hits = doc_of, np.zeros(0, np.int32), []
+
+    def emit(self, pos: np.ndarray, shared: np.ndarray) -> None:
+        new = np.concatenate([np.arange(len(self.open)) == 0, shared < LENGTH])
+        new[:1] = True
+        pos = np.concatenate([self.open, pos])
+        heads = np.flatnonzero(new)
+        self._close(pos[: heads[-1]], heads[:-1])
+        self.open = pos[heads[-1] :].copy()
+
+    def _close(self, pos: np.ndarray, heads: np.ndarray) -> None:
+        if len(pos):
+            doc = self.doc_of[pos]
+            least = np.repeat(np.minimum.reduceat(doc, heads), np.diff(np.append(heads, len(pos))))
+            self.hits.append(pos[doc > least])
+
+    def finish(self) -> np.ndarray:
+        self._close(self.open, np.zeros(1, np.int64))
+        return np.sort(np.concatenate(self.hits)) if self.hits else np.zeros(0, np.int32)
+
+
+def repeated(doc: np.ndarray, sizes: np.ndarray, data: np.ndarray, folder: str) -> tuple[np.ndarray, np.ndarray, int]:
+    """Strings that a smaller document holds too: their context and their start in it; and the bytes that the sort's queues wrote."""
     begins = np.concatenate([[0], np.cumsum(sizes + 1)])
     text = np.zeros(int(begins[-1]), np.uint16)
     inside = np.ones(len(text), bool)
     inside[begins[1:] - 1] = False
     text[inside] = data.astype(np.uint16) + 1
-    owner = np.repeat(np.arange(n), sizes + 1)
-    order = suffix_array(text).astype(np.int64)
-    order = order[order + LENGTH < begins[owner[order] + 1]]  # whole strings only
-    if not len(order):
-        return order, order
-    # Neighbours in suffix order with a common prefix of LENGTH bytes hold the same string.
-    new = np.ones(len(order), bool)
-    for lo in range(1, len(order), 1 << 16):
-        hi = min(lo + (1 << 16), len(order))
-        a, b = order[lo:hi], order[lo - 1 : hi - 1]
-        same = np.ones(hi - lo, bool)
-        for k in (0, *range(LENGTH - 1, 0, -1)):
-            left = np.flatnonzero(same)
-            if not len(left):
-                break
-            same[left] = text[a[left] + k] == text[b[left] + k]
-        new[lo:hi] = ~same
-    heads = np.flatnonzero(new)
-    least = np.minimum.reduceat(doc[owner[order]], heads)
-    hit = order[doc[owner[order]] > least[np.cumsum(new) - 1]]
-    hit.sort()
-    return owner[hit], hit - begins[owner[hit]]
-
-
-def _sorted(groups: int):
-    """Covered stretches from a shard's suffix array."""
+    # A suffix shorter than a string shares too little with any other, so only whole strings are ever compared.
+    found = _Repeats(np.repeat(doc, sizes + 1))
+    written = sort_suffixes(text, folder, found.emit, QUEUE_BYTES, LENGTH)
+    hit = found.finish()
+    owner = np.searchsorted(begins, hit, side="right") - 1
+    return owner, hit - begins[owner], written
+
+
+def _sorted(groups: int, folder: str):
+    """Covered stretches from a shard's sorted suffixes (kind 0); what its queues wrote (kind 4)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         doc, node, left, sizes, places, data, p = merged(pdf["payload"])
-        which, start = repeated(doc, sizes, data)
+        which, start, written = repeated(doc, sizes, data, folder)
         out = []
         if len(which):
             # Runs of neighbouring starts are one stretch; it lies at each place where the document has the context.
@@ -309,6 +336,7 @@ def _sorted(groups: int):
             at = np.repeat(first[w], each) + (np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each))
             base = p[at] - np.repeat(left[w], each)
             out = list(cover_rows(np.repeat(doc[w], each), np.repeat(node[w], each), base + np.repeat(lo, each), base + np.repeat(hi, each), groups))
+        out.append((4, 0, written, b""))
         return pd.DataFrame(out, columns=["kind", "place", "items", "payload"])
 
     return run
@@ -352,21 +380,23 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     if contexts:
         shards = max(1, contexts * (SPAN + LENGTH) // SHARD_BYTES)
         cut = _cogrouped(spark, keyed, n_docs, asked, groups, _cut(shards), ROWS)
-        from_shards = cut.groupBy("place").applyInPandas(_sorted(groups), ROWS)
-        covered = covered.unionByName(scratch.save(from_shards, "sorted"))
+        from_shards = cut.groupBy("place").applyInPandas(_sorted(groups, scratch.path("queues")), ROWS)
+        covered = covered.unionByName(scratch.save(from_shards, "sorted").where("kind = 0"))
     changed = scratch.save(_cogrouped(spark, keyed, n_docs, covered, groups, _removed, CUT_ROWS), "changed")
-    least = ids.groupBy(F.col("node").alias("n2")).agg(F.min("doc_id").alias("least"))
-    own = ids.join(least, F.col("node") == F.col("n2")).drop("n2")
+    long = ids.where(F.col("n_bytes") >= LENGTH)
+    # Stored, so that both sides of the join are plain exchanges: Spark can then split a text of very many copies.
+    least = scratch.save(long.groupBy(F.col("node").alias("n2")).agg(F.min("doc_id").alias("least")), "least")
     edits = changed.select(F.col("doc_id").alias("d3"), F.col("node").alias("n3"), "n_removed", "n_spans", "kept_sha256")
-    joined = own.join(edits, (F.col("doc_id") == F.col("d3")) & (F.col("node") == F.col("n3")), "left")
-    copy = (F.col("doc_id") > F.col("least")) & (F.col("n_bytes") >= LENGTH)
-    pick = lambda whole, edit, none: F.when(copy, whole).otherwise(F.coalesce(edit, none))
-    return joined.select(
-        "doc_id", "n_bytes",
-        pick(F.col("n_bytes"), F.when(F.col("doc_id") <= F.col("least"), F.col("n_removed")), F.lit(0).cast("long")).alias("n_removed"),
-        pick(F.lit(1).cast("long"), F.when(F.col("doc_id") <= F.col("least"), F.col("n_spans")), F.lit(0).cast("long")).alias("n_spans"),
-        pick(F.lit(hashlib.sha256(b"").hexdigest()), F.when(F.col("doc_id") <= F.col("least"), F.col("kept_sha256")), F.col("whole")).alias("kept_sha256"),
+    joined = long.join(least, F.col("node") == F.col("n2")).join(edits, (F.col("doc_id") == F.col("d3")) & (F.col("node") == F.col("n3")), "left")
+    copy = F.col("doc_id") > F.col("least")
+    none, empty = F.lit(0).cast("long"), F.lit(hashlib.sha256(b"").hexdigest())
+    pick = lambda whole, edit, rest: F.when(copy, whole).otherwise(F.coalesce(edit, rest))
+    out = joined.select(
+        "doc_id", "n_bytes", pick(F.col("n_bytes"), F.col("n_removed"), none).alias("n_removed"),
+        pick(F.lit(1).cast("long"), F.col("n_spans"), none).alias("n_spans"), pick(empty, F.col("kept_sha256"), F.col("whole")).alias("kept_sha256"),
     )
+    short = ids.where(F.col("n_bytes") < LENGTH)  # too short to hold a string; empty texts, of which there may be very many, join nothing
+    return out.unionByName(short.select("doc_id", "n_bytes", none.alias("n_removed"), none.alias("n_spans"), F.col("whole").alias("kept_sha256")))
 
 
 def _cogrouped(spark, keyed: DataFrame, n_docs: int, rows: DataFrame, groups: int, step, schema: str) -> DataFrame:

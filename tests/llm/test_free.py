@@ -45,6 +45,56 @@ def test_best_fit_takes_the_tightest_bin():
     assert used == [10, 9] and place == [0, 1, 0, 1, 1]
 
 
+def brute_best_fit(sizes, lengths, worth, overhead=packing.OVERHEAD):
+    """The same rule by looking at every open bin; of equally tight bins the one that was filled last."""
+    room, used, place, filled = [], [], [], []
+    for turn, size in enumerate(sizes):
+        open_ = [(room[b], -filled[b], b) for b in range(len(room)) if room[b] >= size]
+        if open_:
+            b = min(open_)[2]
+        else:
+            room.append(min((c + overhead - worth * (c - size), c) for c in lengths if c >= size)[1])
+            used.append(0)
+            filled.append(0)
+            b = len(used) - 1
+        filled[b] = turn
+        room[b] -= size
+        used[b] += size
+        place.append(b)
+    return place, used
+
+
+def least_cost(sizes, lengths, overhead):
+    """The cheapest packing of all, over every way to part the items."""
+    ordered, best = sorted(lengths), {0: 0}
+    whole = (1 << len(sizes)) - 1
+    total = [sum(s for i, s in enumerate(sizes) if m >> i & 1) for m in range(whole + 1)]
+    cost = lambda n: next((c + overhead for c in ordered if c >= n), None)
+    for m in range(1, whole + 1):
+        low, sub, found = m & -m, m, None
+        while sub:
+            if sub & low and (own := cost(total[sub])) is not None:
+                found = min(found or 10**9, own + best[m ^ sub])
+            sub = (sub - 1) & m
+        best[m] = found
+    return best[whole]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_plans_against_brute_force(seed):
+    rng = random.Random(seed)
+    for _ in range(40):
+        lengths = (16, 32, 64)
+        sizes = sorted((rng.randint(1, 64) for _ in range(rng.randint(1, 9))), reverse=True)
+        for worth in packing.WORTHS:
+            place, used = packing.best_fit(sizes, lengths, worth, 4)
+            by_hand = brute_best_fit(sizes, lengths, worth, 4)
+            assert (place, used) == by_hand
+        _, used, final = packing.cheapest(sizes, lengths, 4)
+        best = least_cost(sizes, lengths, 4)
+        assert best <= sum(final) + 4 * len(used) <= 1.35 * best
+
+
 def test_pack_covers_documents(spark):
     texts = [None, "", "a b", " ".join(["w"] * 9000), " ".join(["v"] * 4096)] + [f"x{i} y" for i in range(50)]
     rows = [(i, t, "x", "s", 0) for i, t in enumerate(texts)] + [(2, "a b", "x", "s", 0)] * 3
@@ -88,30 +138,78 @@ def test_dictionaries_take_all_parts_of_texts(n):
     rng = random.Random(n)
     noise = lambda m: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(m))
     passages = [noise(60) for _ in range(3)]  # one early, one in the middle and one at the end of long texts
-    texts = [noise(300) + passages[0] + noise(1500) + passages[1] + noise(900) + passages[2] for _ in range(n)]
+    texts = [(noise(300) + passages[0] + noise(1500) + passages[1] + noise(900) + passages[2]).encode() for _ in range(n)]
     got = classifier.dictionary(texts)
     assert len(got) <= classifier.DICT_BYTES and all(p[8:-8].encode() in got for p in passages)
 
 
 def test_dictionaries_of_few_and_uniform_texts():
-    assert classifier.dictionary(["a b", " ", "c d"]) == b"a bc d" and classifier.dictionary([" "]) == b" " * 64
+    assert classifier.dictionary([b"a b", b" ", b"c d"]) == b"a bc d" and classifier.dictionary([b" "]) == b" " * 64
     for texts in (["x" * 500_000], ["word " * 30_000], ["\u00e9" * 80_000, "a"], ["y" * 7] * 40_000):
-        assert 0 < len(classifier.dictionary(texts)) <= classifier.DICT_BYTES
+        assert 0 < len(classifier.dictionary([t.encode() for t in texts])) <= classifier.DICT_BYTES
+
+
+def test_long_texts_give_pieces_from_start_to_end():
+    data = bytes(range(256)) * 8192
+    got = classifier.pieces(data)
+    assert len(got) == classifier.TEXT_BYTES and got[:64] == data[:64] and got[-64:] == data[-64:] and classifier.pieces(b"abc") == b"abc"
+
+
+def test_scores_are_calibrated(spark):
+    """On the held-out fold: in each fifth of the scores the share of good labels is near the mean score."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    got = queries.op6_quality_classifier(spark, sf).where("held_out").join(labels, "doc_id").toPandas().dropna()
+    brier = float(((got.score - got.quality) ** 2).mean())
+    assert brier < 0.5 * got.quality.mean() * (1 - got.quality.mean())
+    for _, part in got.groupby(pd.qcut(got.score.rank(method="first"), 5)):
+        assert abs(part.score.mean() - part.quality.mean()) < 0.1
+
+
+def test_folds_choose_what_helps():
+    rng = np.random.default_rng(1)
+    y = (np.arange(400) % 2).astype(float)
+    x = np.zeros((400, classifier.N_FEATURES))
+    x[:, 0] = rng.normal(size=400) + 2 * y  # the difference alone tells; the rest is noise
+    z = np.column_stack([np.ones(400), x])
+    z[:, 2:] = rng.normal(size=(400, classifier.N_FEATURES - 1))
+    assert classifier.choose(z, y, np.full(400, 1 / 400), np.arange(400) % 5, 200)[0] == (0,)
 
 
 # --- suffix arrays and substring dedup ---------------------------------------------
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 64])
-def test_suffix_arrays(limit):
+def test_suffix_arrays(limit, tmp_path):
     rng = np.random.default_rng(7)
+    written = 0
     for _ in range(60):
         parts = [np.r_[rng.integers(1, 1 + rng.integers(1, 5), rng.integers(1, 25)), 0] for _ in range(rng.integers(1, 8))]
         t = np.concatenate(parts).astype(np.uint16)
         ends = np.flatnonzero(t == 0)
         end = lambda i: int(ends[np.searchsorted(ends, i)])  # noqa: E731, B023
         want = sorted(range(len(t)), key=lambda i: (t[i : end(i)].tolist() + [0], end(i)))  # noqa: B023
-        assert induced_sort.suffix_array(t, limit).tolist() == want
+        order, shared = induced_sort.suffix_array(t, f"file://{tmp_path}", limit)
+        common = lambda a, b: next(k for k in range(len(t)) if t[a + k] != t[b + k] or t[a + k] == 0)  # noqa: E731, B023
+        assert order.tolist() == want and shared.tolist() == [0] + [common(a, b) for a, b in zip(want[1:], want, strict=False)]
+        written += induced_sort.sort_suffixes(t, f"file://{tmp_path}", lambda *_: None, limit)
+    assert (written > 0) == (limit == 64) and not list(tmp_path.iterdir())  # run files are gone
+
+
+def test_the_querys_queues_go_to_files(tmp_path):
+    """A shard of the size that the query sorts, under the query's own limit."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(500)]
+    texts = [(" ".join(rng.choice(words) for _ in range(20)))[:80].encode() for _ in range(suffix_dedup.SHARD_BYTES // 80)]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    which, start, written = suffix_dedup.repeated(np.arange(len(texts)), sizes, np.frombuffer(b"".join(texts), np.uint8), f"file://{tmp_path}")
+    assert written > 4 * suffix_dedup.QUEUE_BYTES and not list(tmp_path.iterdir())
+    first, want = {}, []
+    for i, t in enumerate(texts):
+        for j in range(len(t) - 49):
+            if first.setdefault(t[j : j + 50], i) < i:
+                want.append((i, j))
+    assert list(zip(which.tolist(), start.tolist(), strict=True)) == want
 
 
 def brute_dedup(rows, length=50):
@@ -142,8 +240,9 @@ def test_dedup_against_brute_force(spark, monkeypatch):
     rows = list(enumerate(texts)) + [(25, texts[25])]
     for small in (False, True):
         if small:
-            for name in ("FLUSH_BYTES", "BUCKET_BYTES", "GROUP_BYTES", "SHARD_BYTES"):
+            for name in ("FLUSH_BYTES", "BUCKET_BYTES", "GROUP_BYTES", "SHARD_BYTES", "QUEUE_BYTES"):
                 monkeypatch.setattr(suffix_dedup, name, 3000)
+            monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", 2)  # anchors are split
         docs = spark.createDataFrame([(i, t, "x", "s", 0) for i, t in rows], DOCS).repartition(5)
         got = sorted(tuple(r) for r in suffix_dedup.suffix_dedup(docs).collect())
         assert got == brute_dedup(rows)
