@@ -1,8 +1,14 @@
 """The corpus pipeline: quality, near duplicates, personal data, mixture, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last
-return the columns of documents. ``run`` writes each result as Parquet and
-reads it again as the next stage's input.
+return the columns of documents, further columns included. ``run`` writes each
+result as Parquet and reads it again as the next stage's input.
+
+Defined results: null and blank texts are scored as empty, are in no class of
+near duplicates, have no personal data, add no words to the mix and, where the
+mix takes them, get a row without a bin; null ids are kept like others; repeated
+rows with words become one in the second stage; ties are broken as the operators
+say; very long texts are worked on whole; an empty table stays empty.
 """
 
 from __future__ import annotations
