@@ -23,11 +23,11 @@ def _lake(args):
     from pyspark.sql import SparkSession
 
     from . import config
-    from .sources.lake import Lake
+    from .sources.lake import open_store
 
     settings = config.from_file(config.config_path(args.config))
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    return settings, Lake(spark, settings.lake_dir, settings.data_lake.split_by)
+    return settings, open_store(spark, settings.lake_dir, settings.data_lake.type, settings.data_lake.split_by)
 
 
 def dump_reader(args) -> int:

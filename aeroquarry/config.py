@@ -6,7 +6,7 @@ import dataclasses
 import os
 from typing import Any, get_type_hints
 
-LAKE_TYPES = ("parquet",)
+LAKE_TYPES = ("parquet", "zarr")
 
 
 class ConfigError(ValueError):
@@ -61,13 +61,6 @@ class ListenerSettings:
     landing_dir: str = setting("notifications", "where messages land")
     download_dir: str = setting("downloads", "where files are kept")
     topic: str = setting("origin/a/wis2/us-noaa-nws/data/core/weather/#", "topic filter")
-    broker_address: str = setting("wis2node.globaldata.nws.noaa.gov", "broker")
-    broker_port: int = setting(8883, "its port")
-    use_websockets: bool = setting(False, "websockets instead of plain TLS")
-
-    @property
-    def broker_url(self) -> str:
-        return f"{'wss' if self.use_websockets else 'ssl'}://everyone:everyone@{self.broker_address}:{self.broker_port}/mqtt"
 
 
 @dataclasses.dataclass

@@ -175,3 +175,14 @@ class Lake:
 def period(moment: dt.datetime, layout: str) -> dt.date:
     """First day of the year, month or day that holds a moment."""
     return dt.date(moment.year, moment.month if layout != "year" else 1, moment.day if layout == "day" else 1)
+
+
+def open_store(spark: SparkSession, base: str, kind: str = "parquet", split_by: str = "day"):
+    """The store of a kind: ``parquet`` (the lake) or ``zarr``."""
+    if kind == "parquet":
+        return Lake(spark, base, split_by)
+    if kind == "zarr":
+        from .zarr import ZarrStore
+
+        return ZarrStore(spark, base, split_by)
+    raise ValueError(f"unknown kind of store '{kind}'")

@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 from aeroquarry import cli, config
 from aeroquarry.functions.frame import POS, facts
 from aeroquarry.plans.client import get
-from aeroquarry.sources import decoders, dumps, export
-from aeroquarry.sources.lake import AppendSchemaError, Lake, check_append
+from aeroquarry.sources import decoders, dumps, export, zarr
+from aeroquarry.sources.lake import AppendSchemaError, Lake, check_append, open_store
 from aeroquarry.streaming import notify
 
 START, END = dt.datetime(2021, 7, 31), dt.datetime(2021, 8, 2)
@@ -55,6 +55,31 @@ def test_layouts_are_read_by_path(spark, frame, tmp_path):
         assert "_date#" in pruned_by(spark, get(spark, base, "a", START, END))
 
 
+def test_zarr_store(spark, frame, tmp_path):
+    for layout, stores in (("none", ["z.zarr"]), ("day", ["2021_07_31.zarr", "2021_08_01.zarr", "2021_08_02.zarr"])):
+        assert isinstance(open_store(spark, "file:///x", "zarr", layout), zarr.ZarrStore)
+        store = zarr.ZarrStore(spark, f"file://{tmp_path}/{layout}", layout, 3)  # appends fill chunks up
+        assert store.list_data_types() == []
+        first = rows(frame, 4).withColumn("ObsValue", F.struct("ObsValue.value", F.lit(7).alias("n"), F.array(F.col("ObsValue.value"), F.lit(2.5)).alias("wide")))
+        store.put(first, "z", channels=[1, 2])
+        store.put(first.where(f"{POS} < 2"), "z", channels=[1, 2])
+        assert store.list_data_types() == ["z"] and sorted(p for p in os.listdir(tmp_path / layout / ("z" if layout == "day" else "")) if p.endswith(".zarr")) == stores
+        got = store.read("z")
+        assert facts(got)["channels"] == [1, 2] and got.schema["ObsValue"].dataType.simpleString() == first.schema["ObsValue"].dataType.simpleString()
+        want = sorted([str(r[1:]) for r in first.collect()] + [str(r[1:]) for r in first.where(f"{POS} < 2").collect()])
+        assert sorted(str(r[1:]) for r in got.collect()) == want and sorted(r[POS] for r in got.collect()) == list(range(6))
+        window = get(spark, store, "z", "2021-08-01T00:00:00", END).collect()
+        assert sorted(r["ObsValue"]["value"] for r in window) == [1.0, 1.0, 2.0]
+        with pytest.raises(AppendSchemaError):
+            store.put(rows(frame), "z")
+        for number in (0, 0, 1):
+            decoders.store(store, rows(frame).withColumn("category", F.lit("k")), "y", once=("w", number))
+        assert store.read("y_k").count() == 8
+    meta = json.loads((tmp_path / "none/z.zarr/ObsValue/wide/.zarray").read_text())
+    assert meta["shape"] == [6, 2] and meta["chunks"] == [3, 2] and (tmp_path / "none/z.zarr/.zmetadata").exists()
+    assert store.path("a", "b", dt.datetime(2024, 3, 5)).endswith("/a_b/2024_03_05.zarr")
+
+
 def test_replayed_batches_are_stored_once(spark, frame, tmp_path):
     lake = Lake(spark, f"file://{tmp_path}/lake")
     for number in (0, 1, 1, 0):
@@ -212,7 +237,7 @@ def test_config(tmp_path):
     path = tmp_path / "c.json"
     path.write_text(json.dumps({"root_dir": str(tmp_path), "data_lake": {"base_dir": "lake"}, "run_for_num_sec": 3}))
     got = config.from_file(str(path))
-    assert got.lake_dir == f"{tmp_path}/lake" and got.data_lake.split_by == "day" and got.wis2.broker_url.startswith("ssl://") and config.to_dict(got)["run_for_num_sec"] == 3
+    assert got.lake_dir == f"{tmp_path}/lake" and got.data_lake.split_by == "day" and config.to_dict(got)["run_for_num_sec"] == 3
     assert "base_dir: str" in config.describe()
     for bad in ({"root_dir": "x"}, {"root_dir": "x", "data_lake": {"base_dir": "y"}, "z": 1}, {"root_dir": 1, "data_lake": {"base_dir": "y"}}, {"root_dir": "x", "data_lake": {"base_dir": "y", "split_by": "week"}}):
         with pytest.raises(config.ConfigError):
