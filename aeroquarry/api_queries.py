@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable, Iterable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,7 @@ from .operators import temporal
 from .plans import planner, registry
 from .plans.client import decode_time, get
 from .queries import OBS, START, END, observations
-from .sources import decoders, dumps, export
+from .sources import decoders, dumps, export, netcdf, zarr
 from .sources.lake import Lake, open_store
 
 
@@ -118,13 +119,28 @@ def _by_path(layout: str, start, end) -> Callable[[SparkSession, str], DataFrame
     return run
 
 
-def _zarr_get(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in two appends to a Zarr store split by month, read through the same call as the lake's."""
-    store, obs = open_store(spark, _base(spark), "zarr", "month"), observations(spark, sf_dir)
-    for rest in (0, 1):
-        store.put(obs.where(F.col(POS) % 2 == rest), "events")
-    df = get(spark, store, "events", "2024-01-05", "2024-01-09", [{"bounding_box": {"min_lat": -60, "max_lat": 60, "min_lon": -170, "max_lon": 170}}])
-    return df.select("Location", F.col("MetaData.dateTime").alias("ts"), F.col("ObsValue.value").alias("value"))
+def _store_get(kind: str, layout: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Events in two appends to a store of another kind, read through the same call as the lake's."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store, obs = open_store(spark, _base(spark), kind, layout), observations(spark, sf_dir)
+        for rest in (0, 1):
+            store.put(obs.where(F.col(POS) % 2 == rest), "events")
+        df = get(spark, store, "events", "2024-01-05", "2024-01-09", [{"bounding_box": {"min_lat": -60, "max_lat": 60, "min_lon": -170, "max_lon": 170}}])
+        return df.select("Location", F.col("MetaData.dateTime").alias("ts"), F.col("ObsValue.value").alias("value"))
+
+    return run
+
+
+def _netcdf_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An exported file, read back variable by variable."""
+    target = f"{_base(spark)}.nc"
+    export.export_window(planner.apply(observations(spark, sf_dir), START, END, [{"region": "conus"}]), target, form="netcdf")
+    files, path = zarr._files(target)
+    with files.open_input_file(path) as f:
+        _, variables, _ = netcdf.decode(f.read())
+    names = {"n": "Location", "epoch_s": "dateTime@MetaData", "value": "value@ObsValue", "station": "stationID@ObsValue"}
+    return spark.createDataFrame(pd.DataFrame({k: variables[v][1] for k, v in names.items()}), "n int, epoch_s long, value double, station long").withColumn("n", F.col("n").cast("long"))
 
 
 def _zarr_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,7 +347,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "time_decode": _decoded_times, "periodic_durations": _durations, "periodic_arguments": _arguments("periodic", PERIODICS), "resolution_arguments": _arguments("thinning", GRIDS),
         "filter_errors": _filter_errors, "filter_registry": _kinds, "lake_by_path_none": _by_path("none", "2024-01-05", "2024-01-09"), "lake_by_path_year": _by_path("year", "2024-01-05", "2024-01-09T12:00:00Z"),
         "lake_by_path_month": _by_path("month", np.datetime64("2024-01-05"), "2024-01-09T14:00:00+02:00"), "lake_by_path_day": _by_path("day", dt.datetime(2024, 1, 5), "2024-01-09T12:00:00"),
-        "zarr_get": _zarr_get, "zarr_types": _zarr_types, "append_errors": _append_errors, "empty_is_new": _empty_is_new, "lake_paths": _paths, "integer_fill": _integer_fill, "synop_rows": _synop, "temp_rows": _temp, "category_store": _categories,
+        "zarr_get": _store_get("zarr", "month"), "netcdf_get": _store_get("netcdf", "day"), "netcdf_export": _netcdf_export, "zarr_types": _zarr_types, "append_errors": _append_errors, "empty_is_new": _empty_is_new, "lake_paths": _paths, "integer_fill": _integer_fill, "synop_rows": _synop, "temp_rows": _temp, "category_store": _categories,
         "message_types": _message_types, "source_directory": _directory, "dump_paths": _dump_paths, "unit_vectors": _unit_vectors, "superob_kinds": _superob_kinds, "superob_order": _superob_order,
         "export_window": _export_window, "cli_dates": _dates, "cli_commands": _commands, "config_errors": _settings, "config_values": _described,
     }
@@ -354,7 +370,8 @@ def oracle_sql() -> dict[str, str]:
         "filter_errors": _values([(k, s) for k, _, s in FILTERS], "kind, said"),
         "filter_registry": _values([("bounding_box", "or"), ("channels", "and"), ("geojson", "or"), ("periodic", "and"), ("region", "or"), ("superobbing", "and"), ("thinning", "and"), ("time_window", "and"), ("variables", "and")], "name, kind"),
         "lake_by_path_none": by_path("TIMESTAMP '2024-01-09'"), "lake_by_path_year": by_path(half), "lake_by_path_month": by_path(half), "lake_by_path_day": by_path(half),
-        "zarr_get": by_path("TIMESTAMP '2024-01-09'"),
+        "zarr_get": by_path("TIMESTAMP '2024-01-09'"), "netcdf_get": by_path("TIMESTAMP '2024-01-09'"),
+        "netcdf_export": f"WITH {OBS} SELECT row_number() OVER (ORDER BY \"Location\") - 1 AS n, CAST(floor(date_diff('microsecond', TIMESTAMP '1970-01-01', ts) / 1000000) AS BIGINT) AS epoch_s, value, user_id AS station FROM obs WHERE {after} AND {_region('conus')}",
         "zarr_types": _values([(k, n, f"/{n}{p}.zarr", 100) for k, p in (("none", ""), ("year", "/2024")) for n in ("events", "events_sub")], "layout, name, path, n").replace("SELECT *", "SELECT layout, name, path, n::BIGINT AS n"),
         "append_errors": _values([("same", "ok", 100), *((k, "AppendSchemaError", 100) for k in ("less", "more", "no group", "new group", "other type", "other channels"))], "kind, said, rows_after").replace("SELECT *", "SELECT kind, said, rows_after::BIGINT AS rows_after"),
         "empty_is_new": _values([("types before", 0), ("first number", 0), ("replayed", 0), ("second number", 1), ("rows", 40), ("types after", 1)], "what, n").replace("SELECT *", "SELECT what, n::BIGINT AS n"),

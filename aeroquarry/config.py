@@ -6,7 +6,7 @@ import dataclasses
 import os
 from typing import Any, get_type_hints
 
-LAKE_TYPES = ("parquet", "zarr")
+LAKE_TYPES = ("parquet", "zarr", "netcdf")
 
 
 class ConfigError(ValueError):

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.frame import POS, facts, leaves
 from ..operators.thinning import with_ordinal
+from .netcdf import write_window
 
 GROUP_ORDER = ("MetaData", "ObsValue", "ObsError", "QualityMarker", "PreQC")
 TIME_FILL = 2**63 - 1
@@ -40,13 +41,19 @@ def formatted(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def export_window(df: DataFrame, path: str, clobber: bool = False) -> bool:
-    """Write the window as zstd Parquet; False when it is empty. An existing target raises unless ``clobber``."""
+def export_window(df: DataFrame, path: str, clobber: bool = False, form: str = "parquet") -> bool:
+    """Write the window as zstd Parquet or as one NetCDF file; False when it is empty. An existing target raises unless ``clobber``."""
+    if form not in ("parquet", "netcdf"):
+        raise ValueError("form must be 'parquet' or 'netcdf'")
     jvm = df.sparkSession._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     if target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).exists(target) and not clobber:
         raise FileExistsError(path)
     if not df.limit(1).count():
         return False
-    formatted(df).orderBy("Location").write.mode("overwrite").option("compression", "zstd").parquet(path)
+    rows = formatted(df)
+    if form == "netcdf":
+        write_window(rows.drop("Channel"), path, {"channels": facts(df)["channels"]} if facts(df).get("channels") else {})
+    else:
+        rows.orderBy("Location").write.mode("overwrite").option("compression", "zstd").parquet(path)
     return True

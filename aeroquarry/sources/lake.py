@@ -178,11 +178,15 @@ def period(moment: dt.datetime, layout: str) -> dt.date:
 
 
 def open_store(spark: SparkSession, base: str, kind: str = "parquet", split_by: str = "day"):
-    """The store of a kind: ``parquet`` (the lake) or ``zarr``."""
+    """The store of a kind: ``parquet`` (the lake), ``zarr`` or ``netcdf``."""
     if kind == "parquet":
         return Lake(spark, base, split_by)
     if kind == "zarr":
         from .zarr import ZarrStore
 
         return ZarrStore(spark, base, split_by)
+    if kind == "netcdf":
+        from .netcdf import NetcdfStore
+
+        return NetcdfStore(spark, base, split_by)
     raise ValueError(f"unknown kind of store '{kind}'")

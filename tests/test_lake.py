@@ -1,7 +1,9 @@
 import datetime as dt
 import json
 import os
+import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 from aeroquarry import cli, config
 from aeroquarry.functions.frame import POS, facts
 from aeroquarry.plans.client import get
-from aeroquarry.sources import decoders, dumps, export, zarr
+from aeroquarry.sources import decoders, dumps, export, netcdf, zarr
 from aeroquarry.sources.lake import AppendSchemaError, Lake, check_append, open_store
 from aeroquarry.streaming import notify
 
@@ -80,6 +82,44 @@ def test_zarr_store(spark, frame, tmp_path):
     assert store.path("a", "b", dt.datetime(2024, 3, 5)).endswith("/a_b/2024_03_05.zarr")
 
 
+def test_netcdf_files_follow_the_format():
+    """Every field of the header by hand, as the format's description has them."""
+    raw = netcdf.encode({"Location": 2}, {"a@G": (("Location",), np.array([1, -2], "<i4"), {"u": "m"}), "t": (("Location",), np.array([5, 2**40], "<i8"), {})}, {"k": np.array([1.5])})
+    n = lambda v: v.to_bytes(8, "big")
+    tag = lambda v: v.to_bytes(4, "big")
+    head = b"CDF\x05" + n(0) + tag(10) + n(1) + n(8) + b"Location" + n(2)
+    head += tag(12) + n(1) + n(1) + b"k\0\0\0" + tag(6) + n(1) + struct.pack(">d", 1.5)
+    first = n(3) + b"a@G\0" + n(1) + n(0) + tag(12) + n(1) + n(1) + b"u\0\0\0" + tag(2) + n(1) + b"m\0\0\0" + tag(4) + n(8)
+    second = n(1) + b"t\0\0\0" + n(1) + n(0) + tag(0) + n(0) + tag(10) + n(16)
+    begin = len(head) + 12 + len(first) + 8 + len(second) + 8
+    assert raw == head + tag(11) + n(2) + first + n(begin) + second + n(begin + 8) + struct.pack(">ii", 1, -2) + struct.pack(">qq", 5, 2**40)
+    dims, variables, attributes = netcdf.decode(raw)
+    assert dims == {"Location": 2} and variables["a@G"][1].tolist() == [1, -2] and variables["a@G"][2] == {"u": "m"} and attributes == {"k": [1.5]}
+
+
+def test_netcdf_store_and_export(spark, frame, tmp_path):
+    store = open_store(spark, f"file://{tmp_path}/n", "netcdf", "day")
+    assert store.list_data_types() == []
+    first = rows(frame, 4).withColumn("ObsValue", F.struct("ObsValue.value", F.lit(7).alias("n"), F.array(F.col("ObsValue.value"), F.lit(2.5)).alias("wide")))
+    for number in (0, 0):
+        store.put(first, "z", "s", channels=[1, 2], once=("w", number))
+    store.put(first.where(f"{POS} < 2"), "z", "s")
+    assert store.list_data_types() == ["z_s"] and sorted(os.listdir(tmp_path / "n/z_s")) == ["2021_07_31.nc", "2021_08_01.nc", "2021_08_02.nc"]
+    got = store.read("z_s")
+    assert facts(got)["channels"] == [1, 2] and got.schema["ObsValue"].dataType.simpleString() == first.schema["ObsValue"].dataType.simpleString()
+    assert sorted(str(r[1:]) for r in got.collect()) == sorted([str(r[1:]) for r in first.collect()] + [str(r[1:]) for r in first.where(f"{POS} < 2").collect()])
+    assert got.select(POS).distinct().count() == 6
+    assert sorted(r["ObsValue"]["value"] for r in get(spark, store, "z_s", "2021-08-01T00:00:00", END).collect()) == [1.0, 1.0, 2.0]
+    with pytest.raises(AppendSchemaError):
+        store.put(rows(frame), "z", "s")
+    target = f"file://{tmp_path}/out.nc"
+    assert export.export_window(first, target, form="netcdf") and not export.export_window(first.where("false"), f"{target}2", form="netcdf")
+    with pytest.raises(FileExistsError):
+        export.export_window(first, target, form="netcdf")
+    dims, variables, _ = netcdf.decode((tmp_path / "out.nc").read_bytes())
+    assert dims == {"Location": 4, "Channel": 2} and variables["dateTime@MetaData"][1][0] == 1627771440 and variables["wide@ObsValue"][1].tolist() == [[float(i), 2.5] for i in range(4)]
+
+
 def test_replayed_batches_are_stored_once(spark, frame, tmp_path):
     lake = Lake(spark, f"file://{tmp_path}/lake")
     for number in (0, 1, 1, 0):
