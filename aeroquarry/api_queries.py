@@ -298,7 +298,9 @@ SETTINGS = [
     ("least", {"root_dir": "/r", "data_lake": {"base_dir": "lake"}}, "ok"), ("unknown field", {"root_dir": "/r", "data_lake": {"base_dir": "lake"}, "more": 1}, "ConfigError"), ("missing field", {"root_dir": "/r"}, "ConfigError"),
     ("wrong type", {"root_dir": 1, "data_lake": {"base_dir": "lake"}}, "ConfigError"), ("wrong choice", {"root_dir": "/r", "data_lake": {"base_dir": "lake", "split_by": "week"}}, "ConfigError"),
     ("unknown inner field", {"root_dir": "/r", "data_lake": {"base_dir": "lake", "x": 1}}, "ConfigError"), ("optional number", {"root_dir": "/r", "data_lake": {"base_dir": "lake"}, "run_for_num_sec": 3}, "ok"),
-    ("no mapping", {"root_dir": "/r", "data_lake": 5}, "ConfigError"), ("number as text", {"root_dir": "/r", "data_lake": {"base_dir": "lake"}, "run_for_num_sec": "3"}, "ConfigError"),
+    ("optional section", {"root_dir": "/r", "data_lake": {"base_dir": "lake"}, "bufr": {"catalogue": "/c.yaml"}}, "ok"), ("no section", {"root_dir": "/r", "data_lake": {"base_dir": "lake"}, "bufr": None}, "ok"),
+    ("bad section", {"root_dir": "/r", "data_lake": {"base_dir": "lake"}, "bufr": {"x": 1}}, "ConfigError"), ("time", {"root_dir": "/r", "data_lake": {"base_dir": "lake"}, "not_before": "2024-01-01T00:00:00Z"}, "ok"),
+    ("no time", {"root_dir": "/r", "data_lake": {"base_dir": "lake"}, "not_before": "soon"}, "ConfigError"), ("no mapping", {"root_dir": "/r", "data_lake": 5}, "ConfigError"), ("number as text", {"root_dir": "/r", "data_lake": {"base_dir": "lake"}, "run_for_num_sec": "3"}, "ConfigError"),
 ]
 
 

@@ -34,7 +34,8 @@ def dump_reader(args) -> int:
     from .sources import dumps
 
     settings, lake = _lake(args)
-    dumps.ingest(lake, settings.ncep_dump.root_path, args.dump_id, args.start_date.date(), args.end_date.date())
+    first = max(args.start_date.date(), settings.not_before.date()) if settings.not_before else args.start_date.date()
+    dumps.ingest(lake, settings.ncep_dump.root_path, args.dump_id, first, args.end_date.date())
     return 0
 
 
@@ -54,6 +55,13 @@ def admin(args) -> int:
         from .sources import decoders
 
         print(*decoders.directory(), sep="\n")
+    if args.list_message_types:
+        from . import config
+        from .sources import decoders
+
+        settings = config.from_file(config.config_path(args.config))
+        for row in decoders.message_types(settings.bufr.catalogue) if settings.bufr else []:
+            print(*row.values(), sep="\t")
     if args.list_data_types:
         print(*_lake(args)[1].list_data_types(), sep="\n")
     return 0
@@ -73,6 +81,7 @@ def parser() -> argparse.ArgumentParser:
     manage = commands.add_parser("admin", help="administration")
     manage.add_argument("--list-ingestors", action="store_true")
     manage.add_argument("--list-data-types", action="store_true")
+    manage.add_argument("--list-message-types", action="store_true", help="of the catalogue that the settings name")
     manage.set_defaults(handler=admin)
     return top
 

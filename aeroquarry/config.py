@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import os
 from typing import Any, get_type_hints
 
@@ -20,6 +21,23 @@ def setting(default: Any = dataclasses.MISSING, help: str = "", choices: tuple |
     return dataclasses.field(default=default, metadata=meta)
 
 
+def _optional(kind: Any) -> bool:
+    return type(None) in getattr(kind, "__args__", ())
+
+
+def _moment(value: Any, where: str) -> dt.datetime:
+    """ISO 8601, or what the file's format reads as a date or a time; naive UTC."""
+    if isinstance(value, dt.date) and not isinstance(value, dt.datetime):
+        value = dt.datetime(value.year, value.month, value.day)
+    try:
+        value = dt.datetime.fromisoformat(value) if isinstance(value, str) else value
+    except ValueError:
+        value = None
+    if not isinstance(value, dt.datetime):
+        raise ConfigError(f"{where}: a time is needed")
+    return value.astimezone(dt.UTC).replace(tzinfo=None) if value.tzinfo else value
+
+
 def load(cls: type, values: dict[str, Any], where: str = "") -> Any:
     """An instance of a settings class from plain values."""
     if not isinstance(values, dict):
@@ -34,11 +52,17 @@ def load(cls: type, values: dict[str, Any], where: str = "") -> Any:
             if f.default is dataclasses.MISSING and f.default_factory is dataclasses.MISSING:
                 raise ConfigError(f"{at}: missing")
             continue
-        value, kind = values[name], hints[name]
-        if dataclasses.is_dataclass(kind):
-            out[name] = load(kind, value, at)
+        value, kinds = values[name], [k for k in (getattr(hints[name], "__args__", None) or (hints[name],)) if k is not type(None)] if _optional(hints[name]) else [hints[name]]
+        if value is None and _optional(hints[name]):
+            out[name] = None
+            continue
+        if section := next((k for k in kinds if dataclasses.is_dataclass(k)), None):
+            out[name] = load(section, value, at)
             continue
-        base = next((k for k in (bool, int, float, str, list, dict) if kind is k or (k in getattr(kind, "__args__", ()) and value is not None) or getattr(kind, "__origin__", None) is k), None)
+        if dt.datetime in kinds:
+            out[name] = _moment(value, at)
+            continue
+        base = next((k for k in (bool, int, float, str, list, dict) if k in kinds or any(getattr(x, "__origin__", None) is k for x in kinds)), None)
         if base is float and isinstance(value, int) and not isinstance(value, bool):
             value = float(value)
         if base and (not isinstance(value, base) or (base is int and isinstance(value, bool))):
@@ -68,11 +92,19 @@ class DumpSettings:
     root_path: str = setting("", "root of the dump archive")
 
 
+@dataclasses.dataclass
+class BufrSettings:
+    catalogue: str = setting("", "YAML file of message types", path=True)
+    tables_dir: str = setting("", "folder of decoding tables, for decoders that need one", path=True)
+
+
 @dataclasses.dataclass
 class Settings:
     root_dir: str = setting(help="root of all relative paths", path=True)
     data_lake: LakeSettings = setting(help="the lake")
     run_for_num_sec: int | None = setting(None, "listen that long; unset: until stopped")
+    not_before: dt.datetime | None = setting(None, "earliest day that a dump ingest reads")
+    bufr: BufrSettings | None = setting(None, "binary bulletins")
     wis2: ListenerSettings = setting(factory=ListenerSettings, help="push ingest")
     ncep_dump: DumpSettings = setting(factory=DumpSettings, help="batch ingest")
 
@@ -103,8 +135,9 @@ def describe(cls: type = Settings, indent: int = 0) -> str:
         kind = hints[f.name]
         name = getattr(kind, "__name__", str(kind))
         lines.append(f"{' ' * indent}{f.name}: {name}" + (f" - {f.metadata['help']}" if f.metadata.get("help") else ""))
-        if dataclasses.is_dataclass(kind):
-            lines.append(describe(kind, indent + 2))
+        for part in getattr(kind, "__args__", (kind,)):
+            if dataclasses.is_dataclass(part):
+                lines.append(describe(part, indent + 2))
     return "\n".join(lines)
 
 
