@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from aeroquarry.llm import classifier, induced_sort, jaccard_join, media, packing, queries, shingles, suffix_dedup
+from aeroquarry.llm import classifier, induced_sort, jaccard_join, media, mixing, packing, pii, queries, shingles, suffix_dedup
+from test_native import brute_mix, brute_pii, brute_targets
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -369,22 +370,54 @@ def test_shingle_hashes_follow_words():
 # --- pipeline ----------------------------------------------------------------------------
 
 
-def test_pipeline_stages(spark):
+def masked_by_hand(text, spans):
+    out, at = [], 0
+    for start, end, kind in sorted((s["start"], -s["end"], s["kind"]) for s in spans):
+        if start >= at:
+            out += [text[at:start], f"[{pii.ALL_KINDS[kind].upper()}]"]
+        at = max(at, -end)
+    return "".join(out) + text[at:]
+
+
+def test_pipeline_against_brute_force(spark):
+    """Each stage against a plain version on the rows that the stage before left, and the whole run against the stages."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = classifier.train(docs, labels, ~classifier.held_out(F.col("doc_id")))
+    sizer = classifier.Sizer(model.good, model.bad)
+    good = sorted(r["doc_id"] for r in docs.collect() if model.score(np.array([sizer.features(r["text"])]))[0] >= 0.3)
     kept = corpus_pipeline.quality(spark, docs, SF).cache()
-    assert kept.columns == columns and 0 < kept.count() <= docs.count()
+    assert kept.columns == columns and sorted(r["doc_id"] for r in kept.collect()) == good and len(good) < docs.count()
+
     single = corpus_pipeline.near_duplicates(spark, kept, SF).cache()
-    want = {i for i, _, c in brute_join([(r["doc_id"], r["text"]) for r in kept.collect()], 5, 80) if i == c}
-    assert single.columns == columns and sorted(r["doc_id"] for r in single.collect()) == sorted(want)
+    want = sorted(i for i, _, c in brute_join([(r["doc_id"], r["text"]) for r in kept.collect()], 5, 80) if i == c)
+    assert single.columns == columns and sorted(r["doc_id"] for r in single.collect()) == want and len(want) < len(good)
+
     masked = corpus_pipeline.personal_data(spark, single, SF).cache()
-    assert masked.columns == columns and masked.count() == single.count()
-    assert not masked.where(F.col("text").rlike("[A-Za-z0-9]@[A-Za-z0-9]+[.][A-Za-z]")).count()
+    spans = {r["doc_id"]: r["spans"] for r in pii.find_pii(single).collect()}
+    text_of = {r["doc_id"]: masked_by_hand(r["text"] or "", spans[r["doc_id"]]) for r in single.collect()}
+    assert masked.columns == columns and {r["doc_id"]: r["text"] or "" for r in masked.collect()} == text_of
+    for r in single.collect():  # the base is found by hand too
+        found = {(s["start"], s["end"]) for s in spans[r["doc_id"]] if s["base"]}
+        assert found == {tuple(map(int, x.split(":")[1:])) for x in brute_pii(r["text"])}
+
     mixed = corpus_pipeline.mixture(spark, masked, SF).cache()
-    assert mixed.columns == columns and mixed.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
+    plan = mixing.Mix(masked)
+    sized = plan.sized.collect()
+    aims = {r["__s"]: r["target"] for r in plan.aims.collect()}
+    assert aims == {s: pytest.approx(t) for s, t in brute_targets({r["source"]: sum(x["size"] for x in sized if x["source"] == r["source"]) for r in sized}).items()}
+    copies = brute_mix([(r["source"], r["doc_id"], r["size"], 2.0 ** (r["step"] / mixing.STEPS), r["u"]) for r in sized], aims)
+    taken = {r["doc_id"]: n for r, n in zip(sized, copies, strict=True) if n}
+    assert mixed.columns == columns and {r["doc_id"]: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == taken
+
     out = corpus_pipeline.packed(spark, mixed, SF).toPandas()
-    words = sum(len(r["text"].encode().split()) for r in mixed.collect())
-    assert out.n_words.sum() == words
+    items = sorted((-min(n - 4096 * k, 4096), i, k, c) for i, t in taken.items() for n in [len(text_of[i].encode().split())] for c in range(1, t + 1) for k in range(-(-n // 4096)))
+    place, used, final = packing.cheapest([-x[0] for x in items])
+    got = {(r.doc_id, r.piece, r.copy): (r.n_words, r.bin_id, r.bin_capacity, r.bin_used) for r in out.dropna().itertuples()}
+    assert got == {(i, k, c): (-n, b, final[b], used[b]) for (n, i, k, c), b in zip(items, place, strict=True)}
+    rows = lambda d: sorted(map(str, d.astype("Float64").itertuples(index=False)))
+    assert rows(corpus_pipeline.run(spark, SF).toPandas()) == rows(out)
 
 
 def test_near_duplicates_with_null_and_shared_ids(spark):
