@@ -1,7 +1,8 @@
 """Point-in-polygon tests as column expressions, boundary included.
 
 A bounding-box test stands first in every expression: it reaches the Parquet
-scan and spares most rows the edge tests.
+scan and spares most rows the edge tests. Edges are listed by bands of latitude,
+so a row meets only the few that can lie at its height.
 """
 
 from __future__ import annotations
@@ -51,9 +52,32 @@ def within_box(lon: Column, lat: Column, x1: float, y1: float, x2: float, y2: fl
     return lon.between(x1, x2) & lat.between(y1, y2)
 
 
+def _table(edges) -> Column:
+    return F.array(*(F.struct(F.lit(x1).alias("x1"), F.lit(y1).alias("y1"), F.lit(x2).alias("x2"), F.lit(y2).alias("y2")) for x1, y1, x2, y2 in edges))
+
+
 def _edge_table(rings: list[Ring]) -> Column:
     """The edges as a constant array: the tests fold over it, so generated code does not grow with the ring."""
-    return F.array(*(F.struct(F.lit(x1).alias("x1"), F.lit(y1).alias("y1"), F.lit(x2).alias("x2"), F.lit(y2).alias("y2")) for x1, y1, x2, y2 in _edges(rings)))
+    return _table(_edges(rings))
+
+
+#: Edges that a band aims at, and bands at most.
+BAND_EDGES, MOST_BANDS = 4, 512
+
+
+def _at_height(lat: Column, rings: list[Ring]) -> Column:
+    """The edges whose heights reach the band of a latitude: all that it can cross or lie on."""
+    edges = list(_edges(rings))
+    low, high = min(e[1] for e in edges), max(e[1] for e in edges)
+    n = min(MOST_BANDS, len(edges) // BAND_EDGES)
+    if n < 2 or high <= low:
+        return _table(edges)
+    step = (high - low) / n
+    slack = step * 1e-6  # rounding may put a latitude into the next band
+    bands = [[e for e in edges if min(e[1], e[3]) <= low + (k + 1) * step + slack and max(e[1], e[3]) >= low + k * step - slack] for k in range(n)]
+    at = F.greatest(F.least(F.floor((lat - low) / step), F.lit(n - 1)), F.lit(0)).cast("int")
+    empty = _table([(0.0, 1000.0, 0.0, 1000.0)])  # no band of a closed ring is empty, but an array needs its type
+    return F.get(F.array(*(_table(band) if band else empty for band in bands)), at)
 
 
 def _in_rings(lon: Column, lat: Column, rings: list[Ring]) -> Column:
@@ -68,9 +92,9 @@ def _in_rings(lon: Column, lat: Column, rings: list[Ring]) -> Column:
         cross = (lon - e["x1"]) * (e["y2"] - e["y1"]) - (lat - e["y1"]) * (e["x2"] - e["x1"])
         return (cross == 0) & lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & lat.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
 
-    edges = _edge_table(rings)
-    odd = F.aggregate(edges, F.lit(0), lambda n, e: n + crosses(e).cast("int")) % 2 == 1
-    return odd | F.exists(edges, on)
+    many = 1 << 20  # even, and more than any ring has edges: an edge that holds the point decides alone
+    score = F.aggregate(_at_height(lat, rings), F.lit(0), lambda n, e: n + F.when(on(e), many).otherwise(crosses(e).cast("int")))
+    return F.coalesce((score >= many) | (score % 2 == 1), F.lit(False))
 
 
 def _near_edges(lon: Column, lat: Column, rings: list[Ring], width: float) -> Column:
