@@ -255,34 +255,48 @@ def smaller_than_next(t: np.ndarray) -> np.ndarray:
 
 
 def common_prefixes(t: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """Of each suffix with the one before it, up to ``most``; marks are all different."""
-    out = np.zeros(len(order), np.uint16)
+    """Of each suffix with the one before it, up to ``most``; marks are all different. Four symbols are compared at once."""
+    n = len(t)
+    wide = np.zeros(n + 4, np.uint64)
+    wide[:n] = t
+    four = wide[:n] | (wide[1 : n + 1] << np.uint64(16)) | (wide[2 : n + 2] << np.uint64(32)) | (wide[3 : n + 3] << np.uint64(48))
+    at = np.where(t == MARK, np.arange(n), n)
+    room = np.minimum.accumulate(at[::-1])[::-1] - np.arange(n)  # symbols up to the string's mark
+    out = np.zeros(len(order), np.int64)
     left = np.arange(1, len(order))
-    for k in range(most):
-        a, b = order[left] + k, order[left - 1] + k
-        same = (t[np.minimum(a, len(t) - 1)] == t[np.minimum(b, len(t) - 1)]) & (a < len(t)) & (b < len(t))
-        same &= t[np.minimum(a, len(t) - 1)] != MARK
-        left = left[same]
+    for k in range(0, most, 4):
+        differ = four[np.minimum(order[left] + k, n - 1)] ^ four[np.minimum(order[left - 1] + k, n - 1)]
+        low = differ & (~differ + np.uint64(1))  # the lowest bit in which they differ tells the symbol
+        out[left] = k + np.where(differ == 0, 4, (low >= np.uint64(1 << 16)).astype(np.int64) + (low >= np.uint64(1 << 32)) + (low >= np.uint64(1 << 48)))
+        left = left[(differ == 0) & (room[order[left]] > k + 4)]
         if not len(left):
             break
-        out[left] = k + 1
-    return out
+    out[1:] = np.minimum(out[1:], np.minimum(room[order[1:]], room[order[:-1]]))
+    return np.minimum(out, MOST - 1).astype(np.uint16)
 
 
-def _doubled(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string whose marks have names of their own: ranks over doubling lengths."""
-    rank, step, m = names, 1, len(names)
+def _doubled(names: np.ndarray, ordered: np.ndarray, most: int) -> np.ndarray:
+    """Order of the suffixes of a string whose marks have names of their own, from their order by name: ranks over doubling lengths.
+
+    Only what is still equal is sorted again. A name is worth two symbols at least, so after ``most`` symbols the
+    rest may stay in any order.
+    """
+    m, step = len(names), 1
+    order, rank = ordered.copy(), np.empty(m, np.int64)
+    new = np.ones(m, bool)
+    new[1:] = names[order[1:]] != names[order[:-1]]
     while True:
-        after = np.full(m, -1, np.int64)
-        after[:-step or None] = rank[step:]
-        order = np.lexsort((after, rank))
-        a, b = rank[order], after[order]
-        new = np.ones(m, bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        rank = np.empty(m, np.int64)
-        rank[order] = np.cumsum(new) - 1
-        if new.all() or step >= m:
+        heads = np.flatnonzero(new)
+        rank[order] = np.repeat(heads, np.diff(np.append(heads, m)))  # a group's rank is where it begins
+        open_ = np.flatnonzero(~new | ~np.append(new[1:], True))
+        if not len(open_) or step >= m or 2 * step >= most:
             return order
+        part = order[open_]
+        after = np.where(part + step < m, rank[np.minimum(part + step, m - 1)], -1)
+        by = np.lexsort((after, rank[part]))
+        part, after = part[by], after[by]
+        order[open_] = part
+        new[open_] = np.append(True, (rank[part[1:]] != rank[part[:-1]]) | (after[1:] != after[:-1]))
         step *= 2
 
 
@@ -349,7 +363,7 @@ def sort_suffixes(t: np.ndarray, folder: str, emit: Callable[[np.ndarray, np.nda
         spilled += sort_suffixes(reduced, folder, lambda pos, _: parts.append(pos.copy()), limit, MOST - 1, int(reduced.max()) + 1)
         order = at[np.concatenate(parts)[::-1]]
     else:
-        order = at[_doubled(names)]
+        order = at[_doubled(names, where, most)]
     store = Store(folder, limit)
     try:
         induce(t, order, common_prefixes(t, order, most), n_symbols, store, emit)
