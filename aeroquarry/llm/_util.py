@@ -69,3 +69,18 @@ def unit_hash(*cols: Column) -> Column:
     """A reproducible number in (0, 1), uniform over hashed values: the top 53 bits, plus a half."""
     bits = F.shiftrightunsigned(F.xxhash64(*cols), 11)
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+
+
+#: Repeats of a row that one array lists; more are listed by several tasks.
+REPEATS = 1000
+
+
+def numbered(rows: DataFrame, count: Column) -> DataFrame:
+    """Each row ``count`` times (at least once), numbered by ``nth`` from 0; of many repeats any task can take a part."""
+    rows = rows.withColumn("__count", count.cast("long"))
+    few = rows.where(F.col("__count") <= REPEATS).withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__count") - 1)))
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("__count") - 1) / REPEATS).cast("long"))
+    many = rows.where(F.col("__count") > REPEATS).withColumn("__part", F.explode(parts)).repartition("__part")
+    last = F.least(F.col("__count"), (F.col("__part") + 1) * REPEATS) - 1
+    many = many.withColumn("nth", F.explode(F.sequence(F.col("__part") * REPEATS, last))).drop("__part")
+    return few.unionByName(many).drop("__count")

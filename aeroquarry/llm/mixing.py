@@ -35,14 +35,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._util import Scratch, unit_hash, word_count
+from ._util import Scratch, numbered, unit_hash, word_count
 
 #: Histogram cells for each level: the ranks left to sort shrink by this factor twice.
 CELLS = 4096
 #: Measures lie between these, in steps of a 64th of a power of two.
 LEAST, MOST, STEPS = 2.0**-20, 2.0**20, 64
-#: Repeats of a row that one array lists; more are listed by several tasks.
-CHUNK = 1000
 
 
 def targets(sources: DataFrame, weights: Sequence[int], share_pct: int, max_repeat: int) -> DataFrame:
@@ -78,14 +76,6 @@ def _first_open(cells: DataFrame, keys: list[str], cell: str, budget: Column) ->
     return run.groupBy(*keys, *([] if "__rest" in keys else ["__rest"])).agg(over.alias("__at"))
 
 
-def _many(rows: DataFrame, count: Column) -> DataFrame:
-    """Each row ``count`` times (at least once), numbered by ``nth`` from 0; the numbers are made in chunks that any task can take."""
-    rows = rows.withColumn("__count", count.cast("long"))
-    chunks = rows.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__count") - 1) / CHUNK).cast("long")))).repartition("__chunk")
-    last = F.least(F.col("__count"), (F.col("__chunk") + 1) * CHUNK) - 1
-    return chunks.withColumn("nth", F.explode(F.sequence(F.col("__chunk") * CHUNK, last))).drop("__count", "__chunk")
-
-
 class Mix:
     """The decisions of a mix: targets of the sources, the copies that each step of the measure expects, and the cut of each source's ranks."""
 
@@ -202,7 +192,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     out = plan.decide(plan.ranked).where("copies IS NOT NULL").select(*columns)
     if not plan.split:
         return out
-    parts = _many(plan.bounds.where("part.u IS NOT NULL").select(F.col("__s").alias("source"), "part.*"), F.col("n"))
+    parts = numbered(plan.bounds.where("part.u IS NOT NULL").select(F.col("__s").alias("source"), "part.*"), F.col("n"))
     parts = parts.withColumn("copies", F.col("whole") + (F.col("nth") < F.col("take")).cast("long"))
     return out.unionByName(parts.select(*columns))
 
@@ -215,4 +205,4 @@ def repeat_by_mix(docs: DataFrame, **options) -> DataFrame:
     if not plan.split:
         return out
     same = rows.where("copies IS NULL").dropDuplicates(["source", "doc_id", "u"])  # equal rows: one stands for all
-    return out.unionByName(_many(same, F.col("part.n") * F.col("whole") + F.col("part.take")).select("row.*"))
+    return out.unionByName(numbered(same, F.col("part.n") * F.col("whole") + F.col("part.take")).select("row.*"))

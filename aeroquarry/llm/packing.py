@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import Scratch, word_count
+from ._util import Scratch, numbered, word_count
 
 LENGTHS = (512, 1024, 2048, 4096)
 #: Fixed cost of a sequence, in words: what its padding, mask and bookkeeping take.
@@ -97,7 +97,7 @@ def pack(docs: DataFrame, lengths: Sequence[int] = LENGTHS, shard_items: int = 2
     # Equal rows are counted before they are dealt out, then numbered: copies of one document spread over all shards.
     counted = scratch.save(sized.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("copies")), "sized")
     pieces = F.when(F.col("size") > 0, F.sequence(F.lit(0), F.floor((F.col("size") - 1) / longest).cast("int"))).otherwise(F.array(F.lit(0)))
-    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).withColumn("piece", F.explode(pieces))
+    each = numbered(counted, F.col("copies")).withColumn("copy", (F.col("nth") + 1).cast("int")).drop("nth").withColumn("piece", F.explode(pieces))
     each = each.withColumn("start_word", F.col("piece").cast("long") * longest).withColumn("n_words", F.least(F.col("size") - F.col("start_word"), F.lit(longest)).cast("long"))
     total = counted.agg(F.sum(F.col("copies") * F.ceil(F.col("size") / longest))).first()[0] or 0
     shards = max(1, -(-int(total) // shard_items))

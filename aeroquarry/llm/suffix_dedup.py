@@ -8,14 +8,15 @@ Only strings that occur twice need sorting. Anchors (the least hash of the
 alone, so equal strings have equal anchors at equal places, and every match
 shares the context of an anchor: the bytes that any such string around it can
 reach. Equal contexts are found by hash, within a task first; all but those of
-the least document are covered as they stand. Where an anchor has several
-contexts, one of each is sent to a shard, and the shard's suffixes, sorted by
+the least document are covered as they stand. Two contexts with a common string
+agree on the bytes beside the anchor, on one side or the other. Where an anchor
+has several contexts that do, by a hash of those bytes, one of each is sent to a
+shard, and the shard's suffixes, sorted by
 induction with queues that go to files in the shared folder beyond
 ``QUEUE_BYTES``, arrive with their common prefixes: neighbours that share
 ``LENGTH`` bytes hold the same string, which goes wherever a smaller document
-holds it. An anchor with very many contexts is split: two contexts with a common
-string agree on the bytes beside the anchor, on one side or the other, so each
-context goes by either side. Covered stretches of all anchors are joined by
+holds it. An anchor with very many contexts is split by those bytes, each
+context going by either side. Covered stretches of all anchors are joined by
 document. No anchor, context or copy is dropped, and a stretch of text that many
 documents share leaves each task at most once.
 
@@ -68,12 +69,16 @@ def sliding(x: np.ndarray, width: int, op, fill) -> np.ndarray:
     return out
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, place in the row, gram hash and context hash of every anchor of the rows that ``offsets`` cut ``data`` into."""
+def anchors(data: np.ndarray, offsets: np.ndarray, powers) -> tuple[np.ndarray, ...]:
+    """Of every anchor of the rows that ``offsets`` cut ``data`` into: row, place in the row, hashes of gram and context, and of the bytes to its left and right.
+
+    A common string reaches ``SIDE`` bytes to the left of its anchor or more than that to the right; a side that a
+    text is too short for has the hash 0.
+    """
     n = len(data)
     none = np.zeros(0, np.int64)
     if n < LENGTH:
-        return none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none.view(np.uint64), none.view(np.uint64), none.astype(np.uint16), none.astype(np.uint16)
     up, down = powers.of(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(shingles.BYTE_CODES[data] * up[:n], dtype=np.uint64, out=total[1:])
@@ -90,7 +95,15 @@ def anchors(data: np.ndarray, offsets: np.ndarray, powers) -> tuple[np.ndarray,
     r = row[p]
     lo, hi = np.maximum(p - SPAN, offsets[r]), np.minimum(p + LENGTH, offsets[r + 1])
     context = shingles.mix((total[hi] - total[lo]) * down[lo] + ((hi - lo) * 64 + (p - lo)).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
-    return r, p - offsets[r], grams[p], context
+    left = np.where(p - SIDE >= offsets[r], _short((total[p] - total[np.maximum(p - SIDE, 0)]) * down[np.maximum(p - SIDE, 0)]), 0)
+    a, b = np.minimum(p + GRAM, n), np.minimum(p + GRAM + SPAN - SIDE + 1, n)
+    right = np.where(p + GRAM + SPAN - SIDE + 1 <= offsets[r + 1], _short((total[b] - total[a]) * down[a]), 0)
+    return r, p - offsets[r], grams[p], context, left.astype(np.uint16), right.astype(np.uint16)
+
+
+def _short(x: np.ndarray) -> np.ndarray:
+    """Hashes from 1 to 65535."""
+    return shingles.mix(x) % np.uint64(65535) + np.uint64(1)
 
 
 def cover_rows(doc, node, start, end, groups: int):
@@ -118,11 +131,11 @@ def _picked(buckets: int, groups: int):
         ends = np.concatenate([[0], np.cumsum(sizes)])
         for lo, hi in shingles.slices(ends):
             data = np.frombuffer(b"".join(texts[i] for i in keep[lo:hi]), np.uint8)
-            r, p, g, c = anchors(data, ends[lo : hi + 1] - ends[lo], powers)
-            found.append(((r + lo).astype(np.int32), p.astype(np.uint32), g, c))
+            r, p, g, c, left, right = anchors(data, ends[lo : hi + 1] - ends[lo], powers)
+            found.append(((r + lo).astype(np.int32), p.astype(np.uint32), g, c, left, right))
         if not found:
             return
-        r, p, g, c = (np.concatenate(x) for x in zip(*found, strict=True))
+        r, p, g, c, left, right = (np.concatenate(x) for x in zip(*found, strict=True))
         by = np.argsort(c, kind="stable")  # rows are in id order, so each context's least id comes first
         first = np.ones(len(by), bool)
         first[1:] = c[by[1:]] != c[by[:-1]]
@@ -138,7 +151,7 @@ def _picked(buckets: int, groups: int):
         for b, (x,) in split_by(bucket, rest):
             rows, counts = np.unique(r[x], return_counts=True)  # x is in row order
             short = (g[x] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            yield (1, b, len(x), pack(ids[rows], nodes[rows], sizes[rows], counts.astype(np.uint32), p[x], short, c[x]))
+            yield (1, b, len(x), pack(ids[rows], nodes[rows], sizes[rows], counts.astype(np.uint32), p[x], short, c[x], left[x], right[x]))
 
     def run(batches):
         docs, texts, held = [], [], 0
@@ -162,6 +175,17 @@ def _batches(rows):
         yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([place], pa.int32()), pa.array([items], pa.int64()), pa.array([payload], pa.binary())], ["kind", "place", "items", "payload"])
 
 
+def _met(gram: np.ndarray, side: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Contexts that have the bytes on one side of their anchor in common with a context of another document."""
+    key = gram.astype(np.int64) << 16 | side
+    order = np.argsort(key, kind="stable")
+    heads = np.flatnonzero(np.append(True, key[order[1:]] != key[order[:-1]])) if len(order) else order
+    mixed = np.minimum.reduceat(doc[order], heads) < np.maximum.reduceat(doc[order], heads)
+    out = np.zeros(len(key), bool)
+    out[order] = np.repeat(mixed, np.diff(np.append(heads, len(key))))
+    return out & (side > 0)
+
+
 def _matched(groups: int):
     """Of a bucket's anchors: stretches whose whole context a smaller document has (0), and contexts to be sorted (2)."""
 
@@ -172,10 +196,10 @@ def _matched(groups: int):
         parts = [unpack(bytes(x)) for x in pdf["payload"]]
         counts = [x[3].astype(np.int64) for x in parts]
         doc, node, size = (np.concatenate([np.repeat(x[i], n) for x, n in zip(parts, counts, strict=True)]) for i in range(3))
-        p, short, context = (np.concatenate([x[i] for x in parts]) for i in (4, 5, 6))
+        p, short, context, left, right = (np.concatenate([x[i] for x in parts]) for i in (4, 5, 6, 7, 8))
         p = p.astype(np.int64)
         order = np.lexsort((p, doc, context, short))
-        doc, node, size, p, short, context = (a[order] for a in (doc, node, size, p, short, context))
+        doc, node, size, p, short, context, left, right = (a[order] for a in (doc, node, size, p, short, context, left, right))
         n = len(doc)
         new_gram = np.ones(n, bool)
         new_gram[1:] = short[1:] != short[:-1]
@@ -188,8 +212,8 @@ def _matched(groups: int):
         out = list(cover_rows(doc[later], node[later], np.maximum(p - SPAN, 0)[later], np.minimum(p + LENGTH, size)[later], groups)) if later.any() else []
         gram_of = (np.cumsum(new_gram) - 1)[heads]
         edges = np.flatnonzero(np.append(True, gram_of[1:] != gram_of[:-1]))
-        differ = np.minimum.reduceat(least, edges) < np.maximum.reduceat(least, edges)  # some document has a smaller one beside it
-        ask = differ[gram_of][which] & ~later
+        differ = _met(gram_of, left[heads], least) | _met(gram_of, right[heads], least)
+        ask = differ[which] & ~later
         if ask.any():
             place = (row_key(doc[ask], node[ask]) % np.uint64(groups)).astype(np.int64)
             gram = (np.int64(bucket) << 32) | short[ask].astype(np.int64)

@@ -46,6 +46,12 @@ def test_best_fit_takes_the_tightest_bin():
     assert used == [10, 9] and place == [0, 1, 0, 1, 1]
 
 
+def test_many_copies_of_one_text_are_packed(spark):
+    docs = spark.createDataFrame([(1, "a b c", "x", "s", 0)], DOCS).withColumn("doc_id", F.explode(F.array_repeat(F.lit(1).cast("long"), 2500)))
+    out = packing.pack(docs.unionByName(docs_of(spark, ["q"])), shard_items=400).toPandas()
+    assert sorted(out[out.doc_id == 1]["copy"]) == list(range(1, 2501)) and (out[out.doc_id == 1].n_words == 3).all() and len(out) == 2501
+
+
 def brute_best_fit(sizes, lengths, worth, overhead=packing.OVERHEAD):
     """The same rule by looking at every open bin; of equally tight bins the one that was filled last."""
     room, used, place, filled = [], [], [], []
