@@ -52,8 +52,14 @@ def within_box(lon: Column, lat: Column, x1: float, y1: float, x2: float, y2: fl
     return lon.between(x1, x2) & lat.between(y1, y2)
 
 
+def _listed(edges) -> str:
+    """A constant array of edges as SQL: one expression, however many edges."""
+    named = (f"named_struct('x1', {x1!r}D, 'y1', {y1!r}D, 'x2', {x2!r}D, 'y2', {y2!r}D)" for x1, y1, x2, y2 in edges)
+    return f"array({', '.join(named)})"
+
+
 def _table(edges) -> Column:
-    return F.array(*(F.struct(F.lit(x1).alias("x1"), F.lit(y1).alias("y1"), F.lit(x2).alias("x2"), F.lit(y2).alias("y2")) for x1, y1, x2, y2 in edges))
+    return F.expr(_listed(edges))
 
 
 def _edge_table(rings: list[Ring]) -> Column:
@@ -76,8 +82,7 @@ def _at_height(lat: Column, rings: list[Ring]) -> Column:
     slack = step * 1e-6  # rounding may put a latitude into the next band
     bands = [[e for e in edges if min(e[1], e[3]) <= low + (k + 1) * step + slack and max(e[1], e[3]) >= low + k * step - slack] for k in range(n)]
     at = F.greatest(F.least(F.floor((lat - low) / step), F.lit(n - 1)), F.lit(0)).cast("int")
-    empty = _table([(0.0, 1000.0, 0.0, 1000.0)])  # no band of a closed ring is empty, but an array needs its type
-    return F.get(F.array(*(_table(band) if band else empty for band in bands)), at)
+    return F.get(F.expr(f"array({', '.join(map(_listed, bands))})"), at)  # no band of a closed ring is empty
 
 
 def _in_rings(lon: Column, lat: Column, rings: list[Ring]) -> Column:

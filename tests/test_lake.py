@@ -237,6 +237,11 @@ def test_notifications(spark, frame, tmp_path):
     failed = spark.read.parquet(str(tmp_path / "check/failed/2")).collect()
     assert [(r["file_name"], r["tries"]) for r in failed] == [("never", 2)] and open(log).read().count("https://o/n") == 2
     assert notify.download("file:///nothing/here", "x", str(tmp_path / "d")) == ""
+    (tmp_path / "source").write_text("bulletin")
+    for text in ("bulletin", "changed"):  # a file that is there already is kept
+        got = notify.download(f"file://{tmp_path}/source", "../y", str(tmp_path / "d"))
+        assert got == str(tmp_path / "d/y") and open(got).read() == "bulletin" and sorted(os.listdir(tmp_path / "d")) == ["y"]
+        (tmp_path / "source").write_text("changed")
 
 
 def test_message_catalogue(tmp_path):
