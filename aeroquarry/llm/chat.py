@@ -12,10 +12,11 @@ there; role line breaks become ``\\n`` likewise. ``loss`` lists the spans
 (start, length; code points of the formatted string) of assistant texts.
 
 Defined results: null roles and texts are empty; turns with equal numbers are
-ordered by role, then text; repeated rows stay; a null tree id is a tree of
+ordered by role, then by the SHA-256 of the text; repeated rows stay; a null tree id is a tree of
 its own; a parent that is not in its tree makes its child a root; messages on a
 cycle have no root and belong to no path; branches of equal score are ranked
 longer first, then by the least leaf; very long texts stay whole (a
+tree's messages meet in one task, which sorts them on disk if need be, as a
 conversation is one string); all rows with a null conversation are one tree;
 further columns are ignored, whatever their names; an empty table gives an
 empty result.
@@ -51,22 +52,23 @@ def _unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("\\n"), F.lit("\n")))
 
 
-def chain(conversations: DataFrame) -> DataFrame:
-    """Linear conversations (conv_id, turn, role, text) as reply trees: each turn replies to the one before."""
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    at = F.row_number().over(order).cast("long")
-    return conversations.select(
-        F.col("conv_id").alias("tree_id"), at.alias("node_id"), F.nullif(at - 1, F.lit(0).cast("long")).alias("parent_id"), "role", "text", F.lit(0.0).alias("score")
-    )
-
+def chain(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Linear conversations (conv_id, turn, role, text) as reply trees: each turn replies to the one before.
 
-def stored_chain(conversations: DataFrame) -> DataFrame:
-    """``chain`` written once: node numbers are read many times by the joins."""
-    return Scratch(conversations.sparkSession, "chat").save(chain(conversations), "messages")
+    Returns the links (tree_id, node_id, parent_id, score) and what is said (tree_id, node_id, role, text). A node's
+    id is a hash of its turn, role and text, so that texts needn't move to get it; equal rows are one node, said
+    as often as there are rows.
+    """
+    rows = conversations.select(
+        F.col("conv_id").alias("tree_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    ).withColumn("node_id", F.xxhash64("turn", "role", "text"))
+    nodes = rows.select("tree_id", "turn", "role", F.sha2("text", 256).alias("digest"), "node_id").distinct()
+    before = F.lag("node_id").over(Window.partitionBy("tree_id").orderBy("turn", "role", "digest"))
+    return nodes.select("tree_id", "node_id", before.alias("parent_id"), F.lit(0.0).alias("score")), rows.select("tree_id", "node_id", "role", "text")
 
 
 def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
-    """(path_tree, leaf, rank, node_id, depth): the nodes of the ``top`` branches of each tree."""
+    """(tree_id, leaf, rank, depth, node_id): the nodes of the ``top`` branches of each tree, from links (tree_id, node_id, parent_id, score)."""
     scratch = Scratch(messages.sparkSession, "reply-trees")
     links = scratch.save(messages.select("tree_id", "node_id", "parent_id", F.coalesce("score", F.lit(0.0)).alias("score")), "links")
     known = links.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"))
@@ -94,7 +96,7 @@ def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     parents = links.where("parent_id IS NOT NULL").select(F.col("tree_id").alias("t"), F.col("parent_id").alias("n")).distinct()
     leaves = done.join(parents, same("tree_id", "t") & (F.col("node_id") == F.col("n")), "left_anti")
     if top == 1:
-        best = F.max_by(F.struct("node_id", "depth"), F.struct("gain", "depth", -F.col("node_id")))
+        best = F.max_by(F.struct("node_id", "depth"), F.struct("gain", "depth", F.bitwise_not("node_id")))
         picked = leaves.groupBy("tree_id").agg(best.alias("b")).select("tree_id", F.col("b.node_id").alias("leaf"), F.lit(1).alias("rank"), F.col("b.depth").alias("depth"))
     else:
         order = Window.partitionBy("tree_id").orderBy(F.desc("gain"), F.desc("depth"), "node_id")
@@ -111,14 +113,18 @@ def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
 
 def format_paths(messages: DataFrame, path: DataFrame) -> DataFrame:
     """(tree_id, leaf, rank, formatted, loss): each path in one string, with the mask of what is learnt."""
-    said = messages.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "role", "text")
+    # Messages and path nodes meet in one exchange by tree, which also serves the conversations made from them.
+    said = messages.select("tree_id", "node_id", "role", "text", F.lit(None).cast("struct<leaf:bigint,rank:int,depth:bigint>").alias("on"))
+    on = F.struct(F.col("leaf").cast("long").alias("leaf"), F.col("rank").cast("int").alias("rank"), F.col("depth").cast("long").alias("depth"))
+    nodes = path.select("tree_id", "node_id", F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text"), on.alias("on"))
+    met = said.unionByName(nodes).repartition("tree_id").withColumn("ons", F.collect_list("on").over(Window.partitionBy("tree_id", "node_id")))
+    rows = met.where("on IS NULL").select("tree_id", "role", "text", F.explode("ons").alias("on")).select("tree_id", "role", "text", "on.leaf", "on.rank", "on.depth")
     turn = F.struct(
         "depth",
         F.concat(F.lit(OPEN), _escape_role(F.col("role")), F.lit("\n")).alias("head"),
         escape(F.col("text")).alias("body"),
         F.coalesce(F.col("role") == LEARNT, F.lit(False)).alias("learnt"),
     )
-    rows = path.join(said, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("node_id") == F.col("n")))
     grouped = rows.groupBy("tree_id", "leaf", "rank").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     size = lambda t: F.length(t["head"]) + F.length(t["body"]) + len(CLOSE)
     # Spans by a fold that carries the offset; a span is appended only for learnt turns.

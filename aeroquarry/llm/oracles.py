@@ -90,8 +90,8 @@ WITH c AS (
 ),
 t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
 g AS (
-  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
-         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, sha256(text)) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn, role, sha256(text)) FILTER (WHERE role = 'assistant'), '') AS loss,
          sum(15 + length(role) + length(text) + length(regexp_replace(role, '[^\\<' || chr(10) || ']', '', 'g')) + length(regexp_replace(text, '[^\\<]', '', 'g'))) AS chars
   FROM t GROUP BY conv_id
 )

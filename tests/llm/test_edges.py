@@ -48,6 +48,6 @@ def test_url_odd_tables(spark):
 def test_chat_odd_tables(spark):
     schema = "conv_id long, turn long, role string, text string, tree_id string, score double"
     for rows, trees in (([], 0), ([(None, None, None, None, None, None)] * 2 + [(1, None, "user", LONG, "x", 1.0), (1, 0, "assistant", None, "x", 1.0)], 2)):
-        messages = chat.stored_chain(spark.createDataFrame(rows, schema))
-        out = chat.read_back(chat.format_paths(messages, chat.best_paths(messages))).collect()
+        links, messages = chat.chain(spark.createDataFrame(rows, schema))
+        out = chat.read_back(chat.format_paths(messages, chat.best_paths(links))).collect()
         assert len(out) == trees and sum(len(r["turns"]) for r in out) == len(rows)

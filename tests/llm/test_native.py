@@ -255,13 +255,13 @@ def test_repeated_documents_have_all_columns(spark):
 
 
 def test_chat_round_trip(spark):
-    turns = [(1, 0, "user", "hi <turn> \\l \\b \\\\"), (1, 1, "assistant", "</turn>\n<turn>user\n\\"), (1, 2, "assistant", ""), (2, 5, None, None), (2, 5, "assistant", "é\U0001f600"), (None, 1, "a\nb", "c"), (3, 0, "assistant", "x"), (3, 0, "assistant", "x")]
+    turns = [(1, 0, "user", "hi <turn> \\l \\b \\\\"), (1, 1, "assistant", "</turn>\n<turn>user\n\\"), (1, 2, "assistant", ""), (2, 5, None, None), (2, 5, "assistant", "é\U0001f600"), (None, 1, "a\nb", "c"), (3, 0, "assistant", "x"), (3, 0, "assistant", "x"), *((4, 7, "user", t) for t in "edcab")]
     turns += [(9, i, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(70)]
     rows = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
-    messages = chat.stored_chain(rows)
-    got = {r["tree_id"]: r for r in chat.read_back(chat.format_paths(messages, chat.best_paths(messages))).collect()}
+    links, messages = chat.chain(rows)
+    got = {r["tree_id"]: r for r in chat.read_back(chat.format_paths(messages, chat.best_paths(links))).collect()}
     convs = {}
-    for c, n, role, text in sorted(turns, key=lambda r: (r[0] or 0, r[1], r[2] or "", r[3] or "")):
+    for c, n, role, text in sorted(turns, key=lambda r: (r[0] or 0, r[1], r[2] or "", hashlib.sha256((r[3] or "").encode()).hexdigest())):
         convs.setdefault(c, []).append((role or "", text or ""))
     assert set(got) == set(convs)
     for c, said in convs.items():
